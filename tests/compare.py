@@ -1,0 +1,35 @@
+"""Spark results against DuckDB results, as sorted rows."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+import duckdb
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path)[: -len(".parquet")]
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _kind(value) -> tuple:
+    return (value is None, str(type(value).__name__), value if value is not None else 0)
+
+
+def rows_of_spark(df) -> tuple[list[str], list[tuple]]:
+    names = sorted(df.columns)
+    rows = [tuple(r[n] for n in names) for r in df.collect()]
+    return names, sorted(rows, key=lambda r: [_kind(v) for v in r])
+
+
+def rows_of_duck(con, sql: str) -> tuple[list[str], list[tuple]]:
+    cursor = con.execute(sql)
+    given = [d[0] for d in cursor.description]
+    names = sorted(given)
+    at = [given.index(n) for n in names]
+    rows = [tuple(r[i] for i in at) for r in cursor.fetchall()]
+    return names, sorted(rows, key=lambda r: [_kind(v) for v in r])

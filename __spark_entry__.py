@@ -220,24 +220,24 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "time_slot": time_slot_query,
         "minutes_to_answer": minutes_to_answer,
         # Snapshots
-        "latest_posts": _on(xl, lambda p: store.latest_posts(validity.valid_posts_store(p)).select(*_POSTS)),
+        "latest_posts": _on(xl, lambda p: validity.typed(store.latest_posts(validity.valid_posts_store(p))).select(*_POSTS)),
         "activity_store": _on(posts, lambda p: store.activity_store(p).drop("created")),
         # Joins
         "join_accepted": _on(posts, joins.join_accepted),
         "join_accepted_bad_dates": _on(posts, joins.join_accepted, on_bad_date=-1),
         "join_accepted_xl": _on(xl, joins.join_accepted),
         "join_parent": _on(posts, joins.join_parent),
-        "join_accepted_store": _on(xl, lambda p: joins.join_accepted_store(joins.store_posts(p))),
+        "join_accepted_store": _on(xl, lambda p: joins.join_accepted_store(store.store_posts(p))),
         "semi_experts": semi_experts,
         "tag_features": _on(posts, reports.features),
         "tag_features_roundtrip": tag_features_roundtrip,
         # Aggregates and windows
         "answers_per_tag_user": _on(posts, experts.answers_per_tag_user),
         "answers_per_tag_user_joined": _on(xl, lambda p: experts.count_answers(joins.join_accepted(p))),
-        "experts_store_counts": _on(xl, lambda p: experts.answers_per_tag_user_store(joins.store_posts(p))),
+        "experts_store_counts": _on(xl, lambda p: experts.answers_per_tag_user_store(store.store_posts(p))),
         "topk_experts": _on(posts, lambda p: experts.topk_experts(experts.answers_per_tag_user(p))),
         "topk_experts_store": _on(
-            xl, lambda p: experts.topk_experts(experts.answers_per_tag_user_store(joins.store_posts(p)))
+            xl, lambda p: experts.topk_experts(experts.answers_per_tag_user_store(store.store_posts(p)))
         ),
         "topk_experts_list": _on(posts, reports.experts_report),
         "experts_list_roundtrip": experts_list_roundtrip,

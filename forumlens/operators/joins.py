@@ -14,13 +14,11 @@ from pyspark.sql import functions as F
 
 from forumlens.functions import minutes_between, parse_date, present, time_slot
 from forumlens.functions.dates import TIME_SLOTS
-from forumlens.operators.store import latest_posts
 from forumlens.operators.validity import (
     answers,
     questions,
     valid_posts_accepted,
     valid_posts_activity,
-    valid_posts_store,
 )
 
 
@@ -61,15 +59,6 @@ def join_parent(posts: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
     ).select("tags", "slot")
 
 
-def store_posts(posts: DataFrame) -> DataFrame:
-    """The newest version of each question and answer, in the columns of the lookups."""
-    return latest_posts(
-        valid_posts_store(posts).select(
-            "post_id", "post_type_id", "accepted_answer_id", "creation_date", "owner_user_id", "tags"
-        )
-    )
-
-
 def store_sides(store: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Owned questions (answer_id, tags, question_id) and owned posts (answer_id, user_id).
 

@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions import parse_date
-from forumlens.operators.validity import valid_posts_activity_store
+from forumlens.operators.validity import typed, valid_posts_activity_store, valid_posts_store
 from forumlens.sources.posts import ANSWER
 
 # A post has no version number, so the newest is the one with the latest date,
-# then the greatest owner; both are compared as text.
+# then the greatest owner; both are compared as the text they are.
 VERSION = ("creation_date", "owner_user_id")
 
 
@@ -25,11 +25,21 @@ def latest_posts(
     shuffle, so a post with any number of copies costs one row per task, and
     the result stays partitioned by ``key`` for the join that follows.
     """
-    order = [F.col(c).cast("string").alias(f"_by_{c}") for c in order_by]
-    row = F.struct(*[c for c in posts.columns if c != key])
-    newest = posts.groupBy(key).agg(F.max(F.struct(*order, row.alias("row"))).alias("newest"))
+    rest = [c for c in posts.columns if c != key and c not in order_by]
+    newest = posts.groupBy(key).agg(F.max(F.struct(*order_by, *rest)).alias("newest"))
     return newest.select(
-        *[key if c == key else F.col(f"newest.row.{c}").alias(c) for c in posts.columns]
+        *[key if c == key else F.col(f"newest.{c}").alias(c) for c in posts.columns]
+    )
+
+
+def store_posts(posts: DataFrame) -> DataFrame:
+    """The newest version of each question and answer, in the columns of the lookups."""
+    return typed(
+        latest_posts(
+            valid_posts_store(posts).select(
+                "post_id", "post_type_id", "accepted_answer_id", "creation_date", "owner_user_id", "tags"
+            )
+        )
     )
 
 
@@ -39,9 +49,11 @@ def activity_store(posts: DataFrame) -> DataFrame:
     Answers have a date and a parent but no tags, all others tags only.
     """
     is_answer = F.col("post_type_id") == ANSWER
-    newest = latest_posts(
-        valid_posts_activity_store(posts).select(
-            "post_id", "post_type_id", "owner_user_id", "tags", "creation_date", "parent_id"
+    newest = typed(
+        latest_posts(
+            valid_posts_activity_store(posts).select(
+                "post_id", "post_type_id", "owner_user_id", "tags", "creation_date", "parent_id"
+            )
         )
     )
     return newest.select(

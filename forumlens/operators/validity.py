@@ -1,11 +1,14 @@
 """Which posts take part in which report.
 
-Every rule returns typed posts: ids as BIGINT, the date still as text (a date
-that is present but unreadable does not make a post invalid).
+The rules return ids as BIGINT and the date as text (a date that is present but
+unreadable does not make a post invalid). The rules of the keyed stores type
+the key only, because the newest version is found by comparing text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,10 +18,10 @@ from forumlens.sources.posts import ANSWER, QUESTION
 _IDS = ("post_id", "accepted_answer_id", "owner_user_id", "parent_id")
 
 
-def typed(posts: DataFrame) -> DataFrame:
-    """Ids as numbers; an id that is no number counts as missing."""
+def typed(posts: DataFrame, ids: Sequence[str] = _IDS) -> DataFrame:
+    """Ids that are text as numbers; an id that is no number counts as missing."""
     return posts.select(
-        *[as_id(c).alias(c) if c in _IDS else F.col(c) for c in posts.columns]
+        *[as_id(c).alias(c) if c in ids and kind == "string" else F.col(c) for c, kind in posts.dtypes]
     )
 
 
@@ -56,14 +59,14 @@ def valid_posts_activity(posts: DataFrame) -> DataFrame:
 
 def valid_posts_store(posts: DataFrame) -> DataFrame:
     """All questions and answers that have an id."""
-    return typed(posts).filter(
+    return typed(posts, ["post_id"]).filter(
         F.col("post_type_id").isin(QUESTION, ANSWER) & F.col("post_id").isNotNull()
     )
 
 
 def valid_posts_activity_store(posts: DataFrame) -> DataFrame:
     """Answers, and posts of any other type that have tags."""
-    return typed(posts).filter(
+    return typed(posts, ["post_id"]).filter(
         F.col("post_id").isNotNull()
         & present("post_type_id")
         & (_is_answer() | present("tags"))

@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 
 from forumlens.functions.dates import TIME_SLOTS
 from forumlens.operators import activity, clusters, experts, response
-from forumlens.operators.joins import store_posts, tag_features
-from forumlens.operators.store import activity_store
+from forumlens.operators.joins import tag_features
+from forumlens.operators.store import activity_store, store_posts
 from forumlens.session import keep
 
 

@@ -17,8 +17,10 @@ def _date_text(ts: Column) -> Column:
     return F.concat(F.substring(text, 1, 10), F.lit("T"), F.substring(text, 12, 8), F.lit("."), millis)
 
 
-def _minutes(count: Column) -> Column:
-    return count * F.expr("INTERVAL '1' MINUTE")
+def _minute_text(ts: Column, minutes: Column) -> Column:
+    """The same for a whole second, ``minutes`` later."""
+    later = ts + minutes * F.expr("INTERVAL '1' MINUTE")
+    return F.concat(F.replace(later.cast("string"), F.lit(" "), F.lit("T")), F.lit(".000"))
 
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ def posts_xl(spark: SparkSession, sf_dir: str) -> DataFrame:
         order_key.cast("string").alias("post_id"),
         F.lit("1").alias("post_type_id"),
         (order_key * 10 + 100000001).cast("string").alias("accepted_answer_id"),
-        _date_text(F.col("o_orderdate") + _minutes(cust_key % 1440)).alias("creation_date"),
+        _minute_text(F.col("o_orderdate"), cust_key % 1440).alias("creation_date"),
         cust_key.cast("string").alias("owner_user_id"),
         F.concat(
             F.lit("<"),
@@ -68,7 +70,7 @@ def posts_xl(spark: SparkSession, sf_dir: str) -> DataFrame:
         (line_key * 10 + F.col("l_linenumber") + 100000000).cast("string").alias("post_id"),
         F.lit("2").alias("post_type_id"),
         F.lit("").alias("accepted_answer_id"),
-        _date_text(F.col("l_shipdate") + _minutes((F.col("l_partkey") * 7) % 1440)).alias("creation_date"),
+        _minute_text(F.col("l_shipdate"), (F.col("l_partkey") * 7) % 1440).alias("creation_date"),
         F.col("l_suppkey").cast("string").alias("owner_user_id"),
         F.lit("").alias("tags"),
         line_key.cast("string").alias("parent_id"),

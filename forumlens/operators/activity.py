@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forumlens.functions import parse_date, present, slot_label, split_tags, time_slot
@@ -66,11 +66,13 @@ def activity_of_experts(store: DataFrame, experts: DataFrame, slots: int = TIME_
     return _per_tag(asked, answers_per_parent(by_experts, slots))
 
 
+def _slot_pair(slot: int) -> Column:
+    return F.struct(F.lit(slot).alias("slot"), F.col(slot_column(slot)).alias("answers"))
+
+
 def activity_counts(wide: DataFrame) -> DataFrame:
     """(tag, slot, answers), one row per slot that has answers."""
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("slot"), F.col(slot_column(i)).alias("answers")) for i in _slots(wide)]
-    )
+    pairs = F.array(*[_slot_pair(i) for i in _slots(wide)])
     return wide.select("tag", F.inline(pairs)).filter(F.col("answers") > 0)
 
 
@@ -91,9 +93,7 @@ def activity_histogram(wide: DataFrame) -> DataFrame:
 
 def activity_map(wide: DataFrame) -> DataFrame:
     """(tag, activity): a map from slot to answers without the empty slots."""
-    pairs = F.array(
-        *[F.when(F.col(slot_column(i)) > 0, F.struct(F.lit(i), F.col(slot_column(i)))) for i in _slots(wide)]
-    )
+    pairs = F.array(*[F.when(F.col(slot_column(i)) > 0, _slot_pair(i)) for i in _slots(wide)])
     return wide.select("tag", F.map_from_entries(F.array_compact(pairs)).alias("activity"))
 
 

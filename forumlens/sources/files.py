@@ -4,11 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from forumlens.functions import as_id, present
-
-_BROKEN = "_broken_line"
+from forumlens.sources.records import read_records
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -22,15 +20,6 @@ def write_text(df: DataFrame, path: str, sep: str = "\t") -> None:
     df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
 
 
-def _read_fields(spark: SparkSession, path: str, names: list[str]) -> DataFrame:
-    """Text fields of a headerless CSV; a line with another number of fields is dropped."""
-    schema = StructType([StructField(name, StringType()) for name in (*names, _BROKEN)])
-    lines = spark.read.schema(schema).csv(
-        path, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=_BROKEN
-    )
-    return lines.filter(F.col(_BROKEN).isNull()).drop(_BROKEN)
-
-
 def read_experts(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``tag<whitespace>u1,u2,...`` as rows (tag, rank, user_id)."""
     parts = F.split("value", r"\s+")
@@ -47,7 +36,7 @@ def read_experts(spark: SparkSession, path: str) -> DataFrame:
 
 def read_popularity(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``tag,popularity``; a line whose popularity is no number is dropped."""
-    rows = _read_fields(spark, path, ["tag", "popularity"])
+    rows = read_records(spark, path, ["tag", "popularity"])
     return rows.select("tag", F.col("popularity").try_cast("double").alias("popularity")).filter(
         present("tag") & F.col("popularity").isNotNull()
     )
@@ -55,7 +44,7 @@ def read_popularity(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tag_features(spark: SparkSession, path: str) -> DataFrame:
     """Lines ``tag,minutes,popularity``; a line without exactly three fields is dropped."""
-    rows = _read_fields(spark, path, ["tag", "avg_minutes", "popularity"])
+    rows = read_records(spark, path, ["tag", "avg_minutes", "popularity"])
     return rows.select(
         "tag",
         F.col("avg_minutes").try_cast("double").alias("avg_minutes"),

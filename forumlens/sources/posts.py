@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+
+from forumlens.sources.records import read_records
 
 # The columns of a post record, by position. The third holds the
 # accepted answer of a question and the parent question of an answer.
@@ -31,8 +32,6 @@ RECORD = (
 QUESTION = "1"
 ANSWER = "2"
 
-_BROKEN = "_broken_line"
-
 
 def read_posts(
     spark: SparkSession, path: str, parent_id_from: int = 2, escape: str = '"'
@@ -46,26 +45,11 @@ def read_posts(
     """
     if parent_id_from not in (2, 16):
         raise ValueError(f"parent_id_from must be 2 or 16, got {parent_id_from}")
-    schema = StructType([StructField(name, StringType()) for name in (*RECORD, _BROKEN)])
-    lines = spark.read.schema(schema).csv(
-        path,
-        sep=",",
-        quote='"',
-        escape=escape,
-        header=False,
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=_BROKEN,
-    )
-    # A quote left open swallows the rest of its line, so the line is short,
-    # except in the last field, which then keeps the quote itself.
-    whole = lines.filter(
-        F.col(_BROKEN).isNull()
-        & (F.col("parent_id").isNull() | ~F.col("parent_id").startswith('"'))
-    )
+    records = read_records(spark, path, RECORD, escape)
     second = F.col("accepted_or_parent_id")
     is_answer = F.col("post_type_id") == ANSWER
     parent = second if parent_id_from == 2 else F.col("parent_id")
-    return whole.select(
+    return records.select(
         "post_id",
         "post_type_id",
         F.when(~is_answer, second).alias("accepted_answer_id"),

@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+from forumlens.session import local_session  # noqa: E402
+
+POST_COLUMNS = "post_id, post_type_id, accepted_answer_id, creation_date, owner_user_id, tags, parent_id"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = local_session(4)
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def make_posts(spark):
+    """Posts from tuples in the order of POST_COLUMNS."""
+    schema = ", ".join(f"{c} string" for c in POST_COLUMNS.split(", "))
+
+    def make(*rows):
+        return spark.createDataFrame([tuple(r) for r in rows], schema)
+
+    return make
+
+
+def question(post_id, accepted="", tags="<a>", date="2020-01-01T00:00:00.000", owner="1", kind="1"):
+    return (str(post_id), kind, str(accepted), date, owner, tags, "")
+
+
+def answer(post_id, owner="7", parent="", date="2020-01-01T01:00:00.000"):
+    return (str(post_id), "2", "", date, str(owner), "", str(parent))
+
+
+def as_dict(df, key, value):
+    return {r[key]: r[value] for r in df.collect()}

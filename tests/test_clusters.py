@@ -1,0 +1,133 @@
+from __future__ import annotations
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from forumlens.functions.points import TIME_NORMALISER
+from forumlens.operators import clusters
+
+
+def frame(spark, rows):
+    return clusters.points(spark.createDataFrame(rows, "tag string, avg_minutes double, popularity double"))
+
+
+def random_points(seed, n=300):
+    rng = random.Random(seed)
+    return [(f"t{i}", float(rng.randint(-4, 4) * TIME_NORMALISER), float(rng.randint(0, 60))) for i in range(n)]
+
+
+def lloyd(rows, centres, passes):
+    """One configuration by hand, on coordinates that need no rounding."""
+    centres = [list(c) for c in centres]
+    for _ in range(passes):
+        members = {}
+        for _, m, p in rows:
+            far = [
+                math.sqrt((m / TIME_NORMALISER - round(cm / TIME_NORMALISER, 2)) ** 2 + (p - round(cp, 2)) ** 2)
+                for cm, cp in centres
+            ]
+            members.setdefault(far.index(min(far)), []).append((m, p))
+        centres = [
+            [sum(v) / len(v) for v in zip(*members[i])] for i in range(len(centres)) if i in members
+        ]
+    return centres
+
+
+def test_nearest_centre_and_ties(spark):
+    points = frame(spark, [("low", 0.0, 0.0), ("middle", 0.0, 5.0), ("high", 0.0, 9.0)])
+    found = clusters.assign(points, [(1, 0, 0, 0), (1, 1, 0, 10), (2, 0, 0, 10), (2, 1, 0, 10)])
+    rows = {(r.tag, r.config): r.center for r in found.collect()}
+    assert rows == {
+        ("low", 1): 0,
+        ("middle", 1): 0,
+        ("high", 1): 1,
+        ("low", 2): 0,
+        ("middle", 2): 0,
+        ("high", 2): 0,
+    }
+
+
+def test_points_of_their_own_configuration(spark):
+    rows = [("a", 0.0, 1.0, 1), ("b", 0.0, 9.0, 2), ("c", 0.0, 9.0, 3)]
+    points = clusters.points(
+        spark.createDataFrame(rows, "tag string, avg_minutes double, popularity double, config int")
+    )
+    found = clusters.assign(points, [(1, 0, 0, 0), (2, 0, 0, 0), (2, 1, 0, 8)])
+    assert sorted((r.tag, r.config, r.center) for r in found.collect()) == [("a", 1, 0), ("b", 2, 1)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_passes_match_brute_force(spark, seed):
+    rows = random_points(seed)
+    start = [(float(-2 * TIME_NORMALISER), 10.0), (0.0, 30.0), (float(2 * TIME_NORMALISER), 50.0)]
+    centres = [(1, i, m, p) for i, (m, p) in enumerate(start)]
+    found = clusters.kmeans(frame(spark, rows), centres, eps=0.0, max_iter=3)
+    assert found.passes == 3 and not found.converged
+    for got, want in zip(found.centres, lloyd(rows, start, 3)):
+        assert got[2:] == pytest.approx(want)
+    assert sum(found.sizes.values()) == len(rows)
+    assert len(found.history) == 9
+
+
+def test_inertia_never_rises(spark):
+    """Up to the rounding of the centres to two places."""
+    rows = random_points(7)
+    points = frame(spark, rows)
+    centres = [(1, 0, 0, 5), (1, 1, 0, 6), (1, 2, 0, 40)]
+    inertia = []
+    for _ in range(5):
+        near = clusters.assign(points, centres)
+        inertia.append(near.agg(F.sum(F.col("distance") ** 2)).first()[0])
+        moved = clusters.update(near)
+        centres = [tuple(r)[:4] for r in moved.collect()]
+    assert all(b <= a + 1e-3 * a for a, b in zip(inertia, inertia[1:]))
+
+
+def test_loop_stops_at_rest(spark):
+    points = frame(spark, [("a", 0.0, 0.0), ("b", 0.0, 2.0), ("c", 0.0, 100.0)])
+    found = clusters.kmeans(points, [(1, 0, 0, 0), (1, 1, 0, 90), (2, 0, 0, 34)])
+    assert found.converged and found.at_rest == {1: True, 2: True}
+    assert [tuple(c) for c in found.centres] == [(1, 0, 0.0, 1.0), (1, 1, 0.0, 100.0), (2, 0, 0.0, 34.0)]
+    assert found.passes == 2  # in the first pass centres moved by 1 and 10
+
+
+def test_limit_of_passes_is_reported(spark):
+    points = frame(spark, [("a", 0.0, 0.0), ("b", 0.0, 100.0)])
+    found = clusters.kmeans(points, [(1, 0, 0, 0), (1, 1, 0, 20), (2, 0, 0, 50)], max_iter=1)
+    assert found.passes == 1 and found.at_rest == {1: False, 2: True} and not found.converged
+
+
+def test_empty_clusters(spark):
+    points = frame(spark, [("a", 0.0, 0.0)])
+    centres = [(1, 0, 0, 0), (1, 1, 0, 500)]
+    assert len(clusters.kmeans(points, centres).centres) == 1
+    kept = clusters.kmeans(points, centres, keep_empty=True)
+    assert [c.popularity for c in kept.centres] == [0.0, 500.0]
+    rows = {r.center: r.size for r in clusters.centres_frame(spark, kept).collect()}
+    assert rows == {0: 1, 1: 0}
+    none = clusters.kmeans(points.filter("tag = 'z'"), centres)
+    assert none.centres == []
+
+
+def test_normalised_space(spark):
+    """At least two passes; rest is a move of 0.1 or less; coordinates stay normalised."""
+    points = frame(spark, [("a", 0.0, 0.0), ("b", 2.0 * TIME_NORMALISER, 0.0), ("c", 0.0, 50.0)])
+    start = clusters.normalised_centres([(1, 0, TIME_NORMALISER, 0), (1, 1, 0, 50)])
+    assert [c.avg_minutes for c in start] == [1.0, 0.0]
+    found = clusters.kmeans(points, start, eps=0.1, min_iter=2, space=clusters.NORMALISED)
+    assert found.passes == 2 and found.converged
+    assert [tuple(c) for c in found.centres] == [(1, 0, 1.0, 0.0), (1, 1, 0.0, 50.0)]
+
+
+def test_unconverged(spark):
+    points = frame(spark, [("a", 0.0, 0.0), ("b", 0.0, 10.0)])
+    moved = clusters.step(points, [(1, 0, 0, 0), (1, 1, 0, 7), (2, 0, 0, 5.5)])
+    assert {r.config: r.moving for r in clusters.unconverged(moved).collect()} == {1: 1, 2: 0}
+
+
+def test_no_centres(spark):
+    with pytest.raises(ValueError):
+        clusters.assign(frame(spark, [("a", 0.0, 0.0)]), [])

@@ -1,0 +1,107 @@
+"""Random posts, with repeated ids, against plain Python."""
+
+from __future__ import annotations
+
+import datetime as dt
+import random
+from collections import Counter, defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from forumlens.operators import activity, experts, joins, response
+from forumlens.operators.validity import explode_tags
+
+START = dt.datetime(2020, 1, 1)
+
+
+def random_posts(seed, n=400):
+    rng = random.Random(seed)
+    rows = []
+    for _ in range(n):
+        number, other = rng.randint(1, 60), rng.randint(1, 60)
+        when = START + dt.timedelta(milliseconds=rng.randint(0, 3 * 86400000))
+        date = rng.choice(["bad-date", ""]) if rng.random() < 0.1 else when.isoformat(timespec="milliseconds")
+        kind = rng.choice("1122223")
+        user = "" if rng.random() < 0.1 else str(rng.randint(1, 12))
+        tags = "".join(f"<{rng.choice('abcdef')}>" for _ in range(rng.randint(0, 3))) if kind != "2" else ""
+        accepted = "" if kind == "2" or rng.random() < 0.1 else str(other)
+        parent = str(other) if kind == "2" and rng.random() < 0.9 else ""
+        rows.append((str(number), kind, accepted, date, user, tags, parent))
+    return rows
+
+
+def tag_list(tags):
+    return [t for t in tags.replace("><", "=").strip("<>").split("=") if t]
+
+
+def parsed(date):
+    return None if date == "bad-date" else dt.datetime.fromisoformat(date)
+
+
+def accepted_pairs(rows):
+    asked = [r for r in rows if r[1] == "1" and r[2] and r[3] and r[5]]
+    given = [r for r in rows if r[1] == "2" and r[3] and r[4]]
+    return [(q, a) for q in asked for a in given if q[2] == a[0]]
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_counts_and_experts(make_posts, seed):
+    rows = random_posts(seed)
+    want = Counter((t, int(a[4])) for q, a in accepted_pairs(rows) for t in tag_list(q[5]))
+    posts = make_posts(*rows)
+    counts = experts.answers_per_tag_user(posts)
+    assert {(r.tag, r.user_id): r.answers for r in counts.collect()} == want
+    joined = joins.join_accepted(posts)
+    assert {(r.tag, r.user_id): r.answers for r in experts.count_answers(joined).collect()} == want
+    assert sum(want.values()) == explode_tags(joined).count()
+    by_tag = defaultdict(list)
+    for (tag, user), n in want.items():
+        by_tag[tag].append((-n, user))
+    best = {t: ",".join(str(u) for _, u in sorted(us)[:5]) for t, us in by_tag.items()}
+    found = experts.experts_list(experts.topk_experts(counts))
+    assert {r.tag: r.experts for r in found.collect()} == best
+
+
+@pytest.mark.parametrize("seed", range(4, 7))
+def test_mean_minutes(make_posts, seed):
+    rows = random_posts(seed)
+    sums = defaultdict(lambda: [0, 0])
+    for q, a in accepted_pairs(rows):
+        asked, answered = parsed(q[3]), parsed(a[3])
+        if asked and answered:
+            for t in tag_list(q[5]):
+                sums[t][0] += int((answered - asked) / dt.timedelta(minutes=1))
+                sums[t][1] += 1
+    want = {t: int(total / n) for t, (total, n) in sums.items()}
+    posts = make_posts(*rows)
+    assert {r.tag: r.avg_minutes for r in response.avg_minutes_per_tag(posts).collect()} == want
+
+
+@pytest.mark.parametrize("seed,slots", [(7, 4), (8, 24), (9, 1)])
+def test_activity(make_posts, seed, slots):
+    rows = random_posts(seed)
+    asked = [r for r in rows if r[1] == "1" and r[3] and r[5]]
+    given = [r for r in rows if r[1] == "2" and r[3] and r[4] and r[6] and parsed(r[3])]
+    want = Counter(
+        (t, parsed(a[3]).hour * slots // 24) for q in asked for a in given if a[6] == q[0] for t in tag_list(q[5])
+    )
+    posts = make_posts(*rows)
+    found = activity.activity_counts(activity.activity_of_all(posts, slots))
+    assert {(r.tag, r.slot): r.answers for r in found.collect()} == want
+    found = activity.count_slots(joins.join_parent(posts, slots))
+    assert {(r.tag, r.slot): r.answers for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("k", [1, 3, 7])
+def test_topk_against_brute_force(spark, k):
+    rng = random.Random(k)
+    rows = [(rng.choice("xyz"), u, rng.randint(1, 6)) for u in range(200)]
+    counts = spark.createDataFrame(rows, "tag string, user_id bigint, answers bigint")
+    found = {(r.tag, r["rank"]): r.user_id for r in experts.topk_experts(counts, k).collect()}
+    want = {}
+    for tag in "xyz":
+        ranked = sorted((-n, u) for t, u, n in rows if t == tag)[:k]
+        want |= {(tag, i + 1): u for i, (_, u) in enumerate(ranked)}
+    assert found == want
+    assert experts.topk_experts(counts, k).agg(F.max("rank")).first()[0] == k

@@ -1,0 +1,76 @@
+"""A third of all posts under one key: counts must not grow with the pairs."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import as_dict
+from forumlens.operators import activity, experts, response, store
+from forumlens.plans import reports
+
+COPIES = 60000
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    """COPIES copies of question 1, as many of its accepted answer 2, and as many
+    ordinary posts. Listing the pairs of posts 1 and 2 would take 3.6 billion rows."""
+    n = F.col("id")
+
+    def copies(post_id, kind, accepted, date, owner, tags, parent):
+        return spark.range(COPIES).select(
+            F.lit(post_id).alias("post_id"),
+            F.lit(kind).alias("post_type_id"),
+            F.lit(accepted).alias("accepted_answer_id"),
+            F.lit(date).alias("creation_date"),
+            owner.alias("owner_user_id"),
+            F.lit(tags).alias("tags"),
+            F.lit(parent).alias("parent_id"),
+        )
+
+    asked = copies("1", "1", "2", "2020-01-01T00:00:00.000", F.lit("9"), "<hot><a>", "")
+    given = copies("2", "2", "", "2020-01-01T07:00:00.000", (n % 3 + 1).cast("string"), "", "1")
+    other = spark.range(COPIES).select(
+        (n + 10).cast("string").alias("post_id"),
+        F.when(n % 2 == 0, "1").otherwise("2").alias("post_type_id"),
+        F.when(n % 2 == 0, (n + 11).cast("string")).otherwise("").alias("accepted_answer_id"),
+        F.lit("2020-01-01T12:00:00.000").alias("creation_date"),
+        (n % 50).cast("string").alias("owner_user_id"),
+        F.when(n % 2 == 0, "<a>").otherwise("").alias("tags"),
+        F.when(n % 2 == 1, (n + 9).cast("string")).otherwise("").alias("parent_id"),
+    )
+    return asked.unionByName(given).unionByName(other)
+
+
+def test_experts(hot):
+    counts = {(r.tag, r.user_id): r.answers for r in experts.answers_per_tag_user(hot).collect()}
+    assert counts[("hot", 2)] == COPIES * COPIES // 3
+    assert counts[("a", 3)] == COPIES * COPIES // 3 + COPIES // 50
+    assert sum(counts.values()) == 2 * COPIES * COPIES + COPIES // 2
+    assert as_dict(reports.experts_report(hot), "tag", "experts")["hot"] == "1,2,3"
+
+
+def test_activity(hot):
+    found = {r.tag: tuple(r)[1:] for r in activity.activity_of_all(hot).collect()}
+    assert found == {
+        "hot": (0, COPIES * COPIES, 0, 0),
+        "a": (0, COPIES * COPIES, COPIES // 2, 0),
+    }
+
+
+def test_mean_minutes(hot):
+    found = as_dict(response.avg_minutes_per_tag(hot), "tag", "avg_minutes")
+    assert found == {"hot": 420, "a": (420 * COPIES * COPIES) // (COPIES * COPIES + COPIES // 2)}
+
+
+def test_snapshot(hot):
+    newest = store.store_posts(hot)
+    assert newest.count() == COPIES + 2
+    assert newest.filter("post_id = 2").first().owner_user_id == 3
+    assert as_dict(reports.experts_report_store(hot), "tag", "experts")["hot"] == "3"
+
+
+def test_activity_of_experts(hot):
+    lines = as_dict(reports.activity_report_experts(hot), "tag", "histogram")
+    assert lines["hot"] == "hot,TimeSlot1:1"

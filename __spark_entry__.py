@@ -11,7 +11,7 @@ import oracles
 from forumlens.functions import distance, minutes_between, parse_date, slot_label, time_slot
 from forumlens.operators import activity, clusters, experts, joins, response, store, validity
 from forumlens.plans import reports
-from forumlens.session import new_path
+from forumlens.session import keep, new_path
 from forumlens.sources import derived, files
 from forumlens.sources.posts import load_posts, read_posts, write_posts
 
@@ -108,8 +108,8 @@ def point_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    far = distance(F.col("x"), F.col("y"), F.lit(0.1), F.lit(30.0))
-    return _points(spark, sf_dir).select("tag", F.round(far, 4).alias("distance"))
+    far = distance("x", "y", "0.1D", "30.0D")
+    return _points(spark, sf_dir).selectExpr("tag", f"round({far}, 4) AS distance")
 
 
 def _points(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -227,7 +227,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_accepted_bad_dates": _on(posts, joins.join_accepted, on_bad_date=-1),
         "join_accepted_xl": _on(xl, joins.join_accepted),
         "join_parent": _on(posts, joins.join_parent),
-        "join_accepted_store": _on(xl, lambda p: joins.join_accepted_store(store.store_posts(p))),
+        "join_accepted_store": _on(xl, lambda p: joins.join_accepted_store(keep(store.store_posts(p), "store"))),
         "semi_experts": semi_experts,
         "tag_features": _on(posts, reports.features),
         "tag_features_roundtrip": tag_features_roundtrip,

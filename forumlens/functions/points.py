@@ -1,25 +1,24 @@
-"""Points (response time, popularity) and the distance between them."""
+"""Points (response time, popularity) and the distance between them.
 
-from __future__ import annotations
-
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+The functions take SQL text, because clustering writes one such expression per
+centre and builds the plan anew in every pass.
+"""
 
-from forumlens.functions.fields import _col
+from __future__ import annotations
 
 # Fixed value: minutes are divided by this before they are compared
 TIME_NORMALISER = 1590397
 
 
-def round_half_even(value: Column | str) -> Column:
+def round_half_even(value: str) -> str:
     """Two decimal places; a tie goes to the even neighbour."""
-    return F.bround(_col(value).cast("double"), 2)
+    return f"bround(CAST({value} AS DOUBLE), 2)"
 
 
-def normalise_minutes(minutes: Column | str) -> Column:
-    return F.bround(_col(minutes).cast("double") / F.lit(float(TIME_NORMALISER)), 2)
+def normalise_minutes(minutes: str) -> str:
+    return f"bround(CAST({minutes} AS DOUBLE) / {TIME_NORMALISER}.0D, 2)"
 
 
-def distance(x1: Column, y1: Column, x2: Column, y2: Column) -> Column:
+def distance(x1: str, y1: str, x2: str, y2: str) -> str:
     """Euclidean distance between two normalised points."""
-    return F.sqrt(F.pow(x1 - x2, F.lit(2.0)) + F.pow(y1 - y2, F.lit(2.0)))
+    return f"sqrt(pow({x1} - {x2}, 2.0D) + pow({y1} - {y2}, 2.0D))"

@@ -74,30 +74,26 @@ def normalised_centres(centres: DataFrame | Iterable) -> list[Centre]:
 
 def points(features: DataFrame) -> DataFrame:
     """Complete features with their normalised coordinates x and y."""
-    return complete_features(features).withColumns(
-        {"x": normalise_minutes("avg_minutes"), "y": round_half_even("popularity")}
+    return complete_features(features).selectExpr(
+        "*", f"{normalise_minutes('avg_minutes')} AS x", f"{round_half_even('popularity')} AS y"
     )
 
 
-def _xy(avg_minutes: Column, popularity: Column, space: str) -> tuple[Column, Column]:
+def _xy(avg_minutes: str, popularity: str, space: str) -> tuple[str, str]:
     scale = normalise_minutes if space == RAW else round_half_even
     return scale(avg_minutes), round_half_even(popularity)
 
 
-def _nearest(centres: list[Centre], space: str) -> Column:
+def _nearest(centres: list[Centre], space: str) -> str:
     """The struct of the nearest centre; the lowest number wins a tie."""
     candidates = []
     for c in centres:
-        x, y = _xy(F.lit(c.avg_minutes), F.lit(c.popularity), space)
+        x, y = _xy(f"{c.avg_minutes!r}D", f"{c.popularity!r}D", space)
         candidates.append(
-            F.struct(
-                distance(F.col("x"), F.col("y"), x, y).alias("distance"),
-                F.lit(c.center).alias("center"),
-                x.alias("old_x"),
-                y.alias("old_y"),
-            )
+            f"named_struct('distance', {distance('x', 'y', x, y)}, 'center', {c.center},"
+            f" 'old_x', {x}, 'old_y', {y})"
         )
-    return F.array_min(F.array(*candidates))
+    return f"array_min(array({', '.join(candidates)}))"
 
 
 def assign(points: DataFrame, centres: DataFrame | Iterable, space: str = RAW) -> DataFrame:
@@ -109,17 +105,17 @@ def assign(points: DataFrame, centres: DataFrame | Iterable, space: str = RAW) -
     by_config: dict[int, list[Centre]] = {}
     for c in as_centres(centres):
         by_config.setdefault(c.config, []).append(c)
-    found = [
-        F.struct(F.lit(config).alias("config"), _nearest(group, space).alias("nearest"))
+    found = {
+        config: f"named_struct('config', {config}, 'nearest', {_nearest(group, space)})"
         for config, group in by_config.items()
-    ]
+    }
     rest = [c for c in points.columns if c != "config"]
     if "config" in points.columns:
-        own = F.coalesce(*[F.when(F.col("config") == f["config"], f) for f in found])
-        rows = points.select(*rest, own.alias("found")).filter(F.col("found").isNotNull())
-        rows = rows.select(*rest, "found.*")
+        cases = " ".join(f"WHEN {config} THEN {struct}" for config, struct in found.items())
+        own = points.where(F.col("config").isin(list(found)))
+        rows = own.select(*rest, F.expr(f"inline(array(CASE config {cases} END))"))
     else:
-        rows = points.select(*rest, F.inline(F.array(*found)))
+        rows = points.select(*rest, F.expr(f"inline(array({', '.join(found.values())}))"))
     return rows.select(*rest, "config", "nearest.*")
 
 
@@ -131,14 +127,14 @@ def update(assigned: DataFrame, space: str = RAW) -> DataFrame:
         F.avg(second).alias("popularity"),
         F.count("*").alias("size"),
     )
-    x, y = _xy(F.col("avg_minutes"), F.col("popularity"), space)
-    return means.select(
+    x, y = _xy("avg_minutes", "popularity", space)
+    return means.selectExpr(
         "config",
         "center",
         "avg_minutes",
         "popularity",
         "size",
-        distance(x, y, F.col("old_x"), F.col("old_y")).alias("shift"),
+        f"{distance(x, y, 'old_x', 'old_y')} AS shift",
     )
 
 

@@ -75,7 +75,12 @@ def store_sides(store: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def join_accepted_store(store: DataFrame) -> DataFrame:
-    """Each stored question with its accepted answer: (user_id, tags, question_id)."""
+    """Each stored question with its accepted answer: (user_id, tags, question_id).
+
+    Give it a snapshot that was written as a table. Then both sides reach the
+    join through a shuffle of their own, and adaptive execution can split an
+    answer that very many questions accept.
+    """
     asked, given = store_sides(store)
     return asked.join(given, "answer_id").select("user_id", "tags", "question_id")
 

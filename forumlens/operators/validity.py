@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.functions import as_id, present, split_tags
+from forumlens.functions import as_id, split_tags
 from forumlens.sources.posts import ANSWER, QUESTION
 
 _IDS = ("post_id", "accepted_answer_id", "owner_user_id", "parent_id")
@@ -25,60 +25,49 @@ def typed(posts: DataFrame, ids: Sequence[str] = _IDS) -> DataFrame:
     )
 
 
-def _is_question() -> Column:
-    return F.col("post_type_id") == QUESTION
-
-
-def _is_answer() -> Column:
-    return F.col("post_type_id") == ANSWER
-
-
-def _identified() -> Column:
-    return (
-        F.col("post_type_id").isin(QUESTION, ANSWER)
-        & F.col("post_id").isNotNull()
-        & present("creation_date")
-    )
+_IDENTIFIED = f"post_type_id IN ('{QUESTION}', '{ANSWER}') AND post_id IS NOT NULL AND creation_date <> ''"
+_IS_QUESTION = f"post_type_id = '{QUESTION}'"
+_IS_ANSWER = f"post_type_id = '{ANSWER}'"
 
 
 def valid_posts_accepted(posts: DataFrame) -> DataFrame:
     """Questions with tags and an accepted answer, and answers with an owner."""
-    complete = (
-        _is_question() & F.col("accepted_answer_id").isNotNull() & present("tags")
-    ) | (_is_answer() & F.col("owner_user_id").isNotNull())
-    return typed(posts).filter(_identified() & complete)
+    return typed(posts).where(
+        f"""{_IDENTIFIED} AND (
+            ({_IS_QUESTION} AND accepted_answer_id IS NOT NULL AND tags <> '')
+            OR ({_IS_ANSWER} AND owner_user_id IS NOT NULL))"""
+    )
 
 
 def valid_posts_activity(posts: DataFrame) -> DataFrame:
     """Questions with tags, and answers with an owner and a parent."""
-    complete = (_is_question() & present("tags")) | (
-        _is_answer() & F.col("parent_id").isNotNull() & F.col("owner_user_id").isNotNull()
+    return typed(posts).where(
+        f"""{_IDENTIFIED} AND (
+            ({_IS_QUESTION} AND tags <> '')
+            OR ({_IS_ANSWER} AND parent_id IS NOT NULL AND owner_user_id IS NOT NULL))"""
     )
-    return typed(posts).filter(_identified() & complete)
 
 
 def valid_posts_store(posts: DataFrame) -> DataFrame:
     """All questions and answers that have an id."""
-    return typed(posts, ["post_id"]).filter(
-        F.col("post_type_id").isin(QUESTION, ANSWER) & F.col("post_id").isNotNull()
+    return typed(posts, ["post_id"]).where(
+        f"post_type_id IN ('{QUESTION}', '{ANSWER}') AND post_id IS NOT NULL"
     )
 
 
 def valid_posts_activity_store(posts: DataFrame) -> DataFrame:
     """Answers, and posts of any other type that have tags."""
-    return typed(posts, ["post_id"]).filter(
-        F.col("post_id").isNotNull()
-        & present("post_type_id")
-        & (_is_answer() | present("tags"))
+    return typed(posts, ["post_id"]).where(
+        f"post_id IS NOT NULL AND post_type_id <> '' AND ({_IS_ANSWER} OR tags <> '')"
     )
 
 
 def questions(posts: DataFrame) -> DataFrame:
-    return posts.filter(_is_question())
+    return posts.where(_IS_QUESTION)
 
 
 def answers(posts: DataFrame) -> DataFrame:
-    return posts.filter(_is_answer())
+    return posts.where(_IS_ANSWER)
 
 
 def parse_or_drop(rows: DataFrame, column: str) -> DataFrame:

@@ -104,11 +104,11 @@ def test_results_do_not_depend_on_the_zone(spark):
 
 
 def test_rounding_and_distance(spark):
-    row = spark.range(1).select(
-        round_half_even(F.lit(0.125)),
-        round_half_even(F.lit(0.375)),
-        round_half_even(F.lit(-0.125)),
-        normalise_minutes(F.lit(1590397 * 2)),
-        distance(F.lit(0.0), F.lit(0.0), F.lit(3.0), F.lit(4.0)),
+    row = spark.range(1).selectExpr(
+        round_half_even("0.125D"),
+        round_half_even("0.375D"),
+        round_half_even("-0.125D"),
+        normalise_minutes(f"{1590397 * 2}"),
+        distance("0.0D", "0.0D", "3.0D", "4.0D"),
     ).first()
     assert tuple(row) == (0.12, 0.38, -0.12, 2.0, 5.0)

@@ -34,14 +34,18 @@ PROTOTYPE_CENTRES = [c for c in POINT_CENTRES if c[0] == 2]
 _POSTS = ("post_id", "post_type_id", "accepted_answer_id", "creation_date", "owner_user_id", "tags", "parent_id")
 
 
+# Adding zero makes a negative zero positive
+_CENTRE = (
+    "config",
+    "center",
+    "round(avg_minutes, 4) + 0.0D AS avg_minutes",
+    "round(popularity, 4) + 0.0D AS popularity",
+    "size",
+)
+
+
 def _rounded(centres: DataFrame) -> DataFrame:
-    return centres.select(
-        "config",
-        "center",
-        F.round("avg_minutes", 4).alias("avg_minutes"),
-        F.round("popularity", 4).alias("popularity"),
-        "size",
-    )
+    return centres.selectExpr(*_CENTRE)
 
 
 def scan_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +108,7 @@ def tag_features_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def point_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _points(spark, sf_dir).select("tag", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"))
+    return _points(spark, sf_dir).selectExpr("tag", "round(x, 4) + 0.0D AS x", "round(y, 4) + 0.0D AS y")
 
 
 def point_distance(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,14 +135,7 @@ def kmeans_update_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def kmeans_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = clusters.step(_points(spark, sf_dir), POINT_CENTRES)
-    return moved.select(
-        "config",
-        "center",
-        F.round("avg_minutes", 4).alias("avg_minutes"),
-        F.round("popularity", 4).alias("popularity"),
-        "size",
-        F.round("shift", 4).alias("shift"),
-    )
+    return moved.selectExpr(*_CENTRE, "round(shift, 4) AS shift")
 
 
 def kmeans_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,18 +151,7 @@ def kmeans_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "centres")
     found = clusters.kmeans(_points(spark, sf_dir), POINT_CENTRES, eps=0.0, max_iter=3)
     files.write_centres(clusters.history_frame(spark, found), path)
-    kept = spark.read.parquet(path).select("iteration", *_rounded_columns())
-    return kept
-
-
-def _rounded_columns() -> list:
-    return [
-        "config",
-        "center",
-        F.round("avg_minutes", 4).alias("avg_minutes"),
-        F.round("popularity", 4).alias("popularity"),
-        "size",
-    ]
+    return spark.read.parquet(path).selectExpr("iteration", *_CENTRE)
 
 
 def kmeans_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +354,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "mean_minutes_joined": sql("SELECT tag, avg_minutes FROM averages", "posts_xl"),
         "tag_popularity": sql("SELECT tag, popularity FROM popularity"),
-        "point_normalise": steps(1, "SELECT tag, round(x, 4) AS x, round(y, 4) AS y FROM xy"),
+        "point_normalise": steps(1, "SELECT tag, round(x, 4) + 0.0::DOUBLE AS x, round(y, 4) + 0.0::DOUBLE AS y FROM xy"),
         "point_distance": steps(1, "SELECT tag, round(sqrt(pow(x - 0.1, 2) + pow(y - 30.0, 2)), 4) AS distance FROM xy"),
         "kmeans_assign": steps(1, "SELECT tag, config, center FROM a1"),
         "kmeans_update": steps(1, f"SELECT {rounded} FROM s1"),

@@ -39,9 +39,13 @@ def answers_per_parent(given: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
 
 
 def _per_tag(asked: DataFrame, per_parent: DataFrame) -> DataFrame:
-    """Answers per slot of every tag, from questions (post_id, tags, asked)."""
+    """Answers per slot of every tag, from questions (post_id, tags, asked).
+
+    Both sides grow with the posts, so neither is broadcast; the answers are
+    already partitioned by their parent.
+    """
     columns = [slot_column(i) for i in _slots(per_parent)]
-    joined = asked.join(per_parent, F.col("post_id") == F.col("parent_id"))
+    joined = asked.join(per_parent.hint("merge"), F.col("post_id") == F.col("parent_id"))
     weighted = joined.select("tags", *[(F.col("asked") * F.col(c)).alias(c) for c in columns])
     return explode_tags(weighted).groupBy("tag").agg(*[F.sum(c).alias(c) for c in columns])
 

@@ -24,10 +24,11 @@ def _count_pairs(asked: DataFrame, given: DataFrame) -> DataFrame:
 
     A question met by ``given`` copies of its answer counts ``asked * given``
     times. As both sides hold a combination once, a post id gives at most one
-    row per (tag, user_id) of the result, however many copies it has.
+    row per (tag, user_id) of the result, however many copies it has. Both
+    sides grow with the posts, so neither is broadcast.
     """
     return (
-        asked.join(given, "answer_id")
+        asked.join(given.hint("merge"), "answer_id")
         .groupBy("tag", "user_id")
         .agg(F.sum(F.col("asked") * F.col("given")).alias("answers"))
     )

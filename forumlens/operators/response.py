@@ -31,7 +31,8 @@ def avg_minutes_per_tag(posts: DataFrame, on_bad_date: int | None = None) -> Dat
     """Mean minutes from question to accepted answer per tag.
 
     Copies of a post share its date, so they are counted before the join and
-    meet as one row. ``on_bad_date=-1`` lets unreadable dates enter the mean as
+    meet as one row. Both sides grow with the posts, so neither is broadcast.
+    ``on_bad_date=-1`` lets unreadable dates enter the mean as
     minus one minute; by default they are left out.
     """
     valid = valid_posts_accepted(posts)
@@ -49,7 +50,7 @@ def avg_minutes_per_tag(posts: DataFrame, on_bad_date: int | None = None) -> Dat
     if on_bad_date is None:
         asked = asked.filter(F.col("asked").isNotNull())
         given = given.filter(F.col("answered").isNotNull())
-    pairs = asked.join(given, "answer_id").select(
+    pairs = asked.join(given.hint("merge"), "answer_id").select(
         "tags",
         minutes_between("asked", "answered", on_bad_date).alias("minutes"),
         (F.col("questions") * F.col("copies")).alias("pairs"),

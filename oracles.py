@@ -157,7 +157,11 @@ def with_blocks(select: str, posts: str = "posts", extra: str = "") -> str:
     return f"WITH {recursive}" + ",\n".join(ctes) + "\n" + select
 
 
-_ROUNDED = "config, center, round(avg_minutes, 4) AS avg_minutes, round(popularity, 4) AS popularity, size"
+# Adding zero makes a negative zero positive
+_ROUNDED = (
+    "config, center, round(avg_minutes, 4) + 0.0::DOUBLE AS avg_minutes,"
+    " round(popularity, 4) + 0.0::DOUBLE AS popularity, size"
+)
 
 
 def _values(centres) -> str:

@@ -16,6 +16,11 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+def negative_zeros(rows: list[tuple]) -> int:
+    """Doubles that are zero with a minus sign, which a hash would tell apart."""
+    return sum(str(v) == "-0.0" for row in rows for v in row)
+
+
 def _kind(value) -> tuple:
     return (value is None, str(type(value).__name__), value if value is not None else 0)
 

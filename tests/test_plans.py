@@ -111,6 +111,24 @@ def test_lookup_uses_the_partitioning_of_the_snapshot(spark, xl):
     assert text.count("Exchange hashpartitioning") == 5
 
 
+def shuffles(df):
+    """Shuffles that ran, those read a second time not counted again."""
+    ran = final_plan(df).split("== Initial Plan ==")[0]
+    return ran.count("+- Exchange hashpartitioning")
+
+
+def test_shuffles_per_report(spark, xl):
+    users = keep(spark.createDataFrame([(1,)], "user_id bigint"), "users")
+    off = "-1"
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold=off, spark__sql__adaptive__autoBroadcastJoinThreshold=off):
+        assert shuffles(reports.experts_report(xl)) == 6
+        assert shuffles(reports.experts_report_store(xl)) == 5
+        assert shuffles(reports.activity_report(xl)) == 4
+        assert shuffles(reports.activity_report_experts(xl, users)) == 5
+        assert shuffles(reports.features(xl)) == 6
+    assert shuffles(reports.activity_report_experts(xl, users)) == 3
+
+
 def test_filters_and_columns_reach_the_scan(spark, xl):
     with settings(spark, spark__sql__maxMetadataStringLength="1000"):
         text = plan(reports.activity_report(xl))

@@ -104,3 +104,24 @@ def test_kept_tables_lie_in_the_shared_folder(spark):
     assert sorted(kept.collect()) == sorted(df.collect())
     assert shared_folder(spark) + "/some-" in kept.inputFiles()[0]
     assert new_path(spark, "a") != new_path(spark, "a")
+
+
+class Cluster:
+    """As much of a cluster's session as ``shared_folder`` looks at."""
+
+    def __init__(self, **values):
+        self.conf = {key.replace("__", "."): value for key, value in values.items()}
+
+
+def test_a_cluster_must_name_its_folder():
+    named = Cluster(spark__master="yarn", spark__checkpoint__dir="hdfs:///shared/")
+    assert shared_folder(named) == "hdfs:///shared"
+    with pytest.raises(RuntimeError):
+        shared_folder(Cluster(spark__master="yarn"))
+
+
+def test_a_local_session_gets_a_folder_of_its_own():
+    local = Cluster(spark__master="local[2]", spark__app__id="app-1")
+    assert shared_folder(local) == shared_folder(local)
+    other = Cluster(spark__master="local[2]", spark__app__id="app-2")
+    assert shared_folder(local) != shared_folder(other)

@@ -268,7 +268,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    sql, rounded = oracles.with_blocks, oracles._ROUNDED
+    sql, rounded = oracles.with_blocks, oracles.ROUNDED
     points = "part_points"
     list_of = "string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY rank)"
     histogram = "tag || ',' || string_agg('TimeSlot' || slot || ':' || answers, ',' ORDER BY slot)"
@@ -309,7 +309,7 @@ def oracle_sql() -> dict[str, str]:
         "parse_or_drop": sql("""
   SELECT post_id, CAST(accepted_answer_id AS BIGINT) AS accepted_answer_id FROM posts
   WHERE accepted_answer_id <> ''"""),
-        "explode_tags": sql(f"SELECT post_id, unnest({oracles._SPLIT.format('tags')}) AS tag FROM posts"),
+        "explode_tags": sql(f"SELECT post_id, unnest({oracles.SPLIT.format('tags')}) AS tag FROM posts"),
         "parse_date": sql("""
   SELECT CAST(post_id AS VARCHAR) AS post_id, CAST(year(created) AS INT) AS year, CAST(month(created) AS INT) AS month,
     CAST(day(created) AS INT) AS day, CAST(hour(created) AS INT) AS hour, CAST(minute(created) AS INT) AS minute,

@@ -50,10 +50,20 @@ def _per_tag(asked: DataFrame, per_parent: DataFrame) -> DataFrame:
     return explode_tags(weighted).groupBy("tag").agg(*[F.sum(c).alias(c) for c in columns])
 
 
-def activity_of_all(posts: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
-    """(tag, slot0, slot1, ...): answers by anyone."""
+def activity_of_all(
+    posts: DataFrame, slots: int = TIME_SLOTS, unique_ids: bool = False
+) -> DataFrame:
+    """(tag, slot0, slot1, ...): answers by anyone.
+
+    Copies of a question are combined before the join. ``unique_ids`` saves that
+    shuffle; it is for posts whose ids are known to be unique.
+    """
     valid = valid_posts_activity(posts)
-    asked = questions(valid).groupBy("post_id", "tags").agg(F.count("*").alias("asked"))
+    asked = questions(valid).select("post_id", "tags")
+    if unique_ids:
+        asked = asked.withColumn("asked", F.lit(1))
+    else:
+        asked = asked.groupBy("post_id", "tags").agg(F.count("*").alias("asked"))
     given = answers(valid).select("parent_id", parse_date("creation_date").alias("created"))
     return _per_tag(asked, answers_per_parent(given, slots))
 

@@ -43,15 +43,21 @@ def _asked_tags(asked: DataFrame) -> DataFrame:
     )
 
 
-def answers_per_tag_user(posts: DataFrame) -> DataFrame:
-    """Accepted answers per (tag, user_id), without listing the joined pairs."""
+def answers_per_tag_user(posts: DataFrame, unique_ids: bool = False) -> DataFrame:
+    """Accepted answers per (tag, user_id), without listing the joined pairs.
+
+    Copies of an answer are combined before the join. ``unique_ids`` saves that
+    shuffle; it is for posts whose ids are known to be unique.
+    """
     valid = valid_posts_accepted(posts)
     asked = questions(valid).select(F.col("accepted_answer_id").alias("answer_id"), "tags")
-    given = (
-        answers(valid)
-        .groupBy(F.col("post_id").alias("answer_id"), F.col("owner_user_id").alias("user_id"))
-        .agg(F.count("*").alias("given"))
+    given = answers(valid).select(
+        F.col("post_id").alias("answer_id"), F.col("owner_user_id").alias("user_id")
     )
+    if unique_ids:
+        given = given.withColumn("given", F.lit(1))
+    else:
+        given = given.groupBy("answer_id", "user_id").agg(F.count("*").alias("given"))
     return _count_pairs(_asked_tags(asked), given)
 
 

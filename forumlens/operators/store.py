@@ -48,7 +48,7 @@ def activity_store(posts: DataFrame) -> DataFrame:
 
     Answers have a date and a parent but no tags, all others tags only.
     """
-    is_answer = F.col("post_type_id") == ANSWER
+    is_answer = F.col("post_type_id").eqNullSafe(ANSWER)
     newest = typed(
         latest_posts(
             valid_posts_activity_store(posts).select(

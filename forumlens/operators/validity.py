@@ -56,9 +56,9 @@ def valid_posts_store(posts: DataFrame) -> DataFrame:
 
 
 def valid_posts_activity_store(posts: DataFrame) -> DataFrame:
-    """Answers, and posts of any other type that have tags."""
+    """Answers, and posts of any other or no type that have tags."""
     return typed(posts, ["post_id"]).where(
-        f"post_id IS NOT NULL AND post_type_id <> '' AND ({_IS_ANSWER} OR tags <> '')"
+        f"post_id IS NOT NULL AND ({_IS_ANSWER} OR tags <> '')"
     )
 
 

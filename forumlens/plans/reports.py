@@ -18,9 +18,11 @@ from forumlens.operators.store import activity_store, store_posts
 from forumlens.session import keep
 
 
-def experts_report(posts: DataFrame, k: int = experts.TOP_K) -> DataFrame:
+def experts_report(
+    posts: DataFrame, k: int = experts.TOP_K, unique_ids: bool = False
+) -> DataFrame:
     """(tag, experts): who has the most accepted answers per tag."""
-    counts = experts.answers_per_tag_user(posts)
+    counts = experts.answers_per_tag_user(posts, unique_ids)
     return experts.experts_list(experts.topk_experts(counts, k))
 
 
@@ -34,9 +36,11 @@ def experts_report_store(posts: DataFrame, k: int = experts.TOP_K) -> DataFrame:
     return experts.experts_list(experts.topk_experts(counts, k))
 
 
-def activity_report(posts: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
+def activity_report(
+    posts: DataFrame, slots: int = TIME_SLOTS, unique_ids: bool = False
+) -> DataFrame:
     """(tag, histogram): answers by anyone per slot of the day."""
-    return activity.activity_histogram(activity.activity_of_all(posts, slots))
+    return activity.activity_histogram(activity.activity_of_all(posts, slots, unique_ids))
 
 
 def expert_users(posts: DataFrame, k: int = experts.TOP_K) -> DataFrame:

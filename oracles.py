@@ -82,7 +82,7 @@ _BLOCKS = {
   FROM (SELECT *, row_number() OVER (PARTITION BY post_id
       ORDER BY creation_date DESC NULLS LAST, CAST(owner_user_id AS VARCHAR) DESC NULLS LAST,
         post_type_id DESC, tags DESC, parent_id DESC NULLS LAST) AS version
-    FROM typed WHERE post_id IS NOT NULL AND post_type_id <> ''
+    FROM typed WHERE post_id IS NOT NULL
       AND (post_type_id = '2' OR tags <> '')) WHERE version = 1""",
     # Counts
     "counts": """
@@ -130,11 +130,11 @@ _BLOCKS = {
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""",
 }
 # A tag list in SQL
-_SPLIT = "[x FOR x IN string_split(translate(replace({0}, '><', '='), '<>', ''), '=') IF x <> '']"
+SPLIT = "[x FOR x IN string_split(translate(replace({0}, '><', '='), '<>', ''), '=') IF x <> '']"
 
 
 def _fill(sql: str) -> str:
-    return sql.replace("{{split}}", _SPLIT.format("tags")).replace("{{split_q}}", _SPLIT.format("q.tags"))
+    return sql.replace("{{split}}", SPLIT.format("tags")).replace("{{split_q}}", SPLIT.format("q.tags"))
 
 
 def with_blocks(select: str, posts: str = "posts", extra: str = "") -> str:
@@ -158,7 +158,7 @@ def with_blocks(select: str, posts: str = "posts", extra: str = "") -> str:
 
 
 # Adding zero makes a negative zero positive
-_ROUNDED = (
+ROUNDED = (
     "config, center, round(avg_minutes, 4) + 0.0::DOUBLE AS avg_minutes,"
     " round(popularity, 4) + 0.0::DOUBLE AS popularity, size"
 )

@@ -34,7 +34,7 @@ def make_posts(spark):
 
 
 def question(post_id, accepted="", tags="<a>", date="2020-01-01T00:00:00.000", owner="1", kind="1"):
-    return (str(post_id), kind, str(accepted), date, owner, tags, "")
+    return (str(post_id), kind, "" if accepted is None else str(accepted), date, owner, tags, "")
 
 
 def answer(post_id, owner="7", parent="", date="2020-01-01T01:00:00.000"):

@@ -123,7 +123,9 @@ def test_shuffles_per_report(spark, xl):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold=off, spark__sql__adaptive__autoBroadcastJoinThreshold=off):
         assert shuffles(reports.experts_report(xl)) == 6
         assert shuffles(reports.experts_report_store(xl)) == 5
+        assert shuffles(reports.experts_report(xl, unique_ids=True)) == 5
         assert shuffles(reports.activity_report(xl)) == 4
+        assert shuffles(reports.activity_report(xl, unique_ids=True)) == 3
         assert shuffles(reports.activity_report_experts(xl, users)) == 5
         assert shuffles(reports.features(xl)) == 6
     assert shuffles(reports.activity_report_experts(xl, users)) == 3

@@ -76,6 +76,15 @@ def test_experts_ranked_with_ties(make_posts):
     assert as_dict(reports.experts_report(make_posts(*rows), k=2), "tag", "experts") == {"a": "20,9"}
 
 
+def test_unique_ids_change_nothing_but_the_plan(make_posts):
+    rows = []
+    for n in range(40):
+        rows += [question(n, 100 + n % 30, f"<{'abc'[n % 3]}><z>"), answer(100 + n, n % 7, n)]
+    posts = make_posts(*rows)
+    for report, key in ((reports.experts_report, "experts"), (reports.activity_report, "histogram")):
+        assert as_dict(report(posts, unique_ids=True), "tag", key) == as_dict(report(posts), "tag", key)
+
+
 def test_repeated_tags_count_twice(make_posts):
     posts = make_posts(question(1, 10, "<a><a><>"), answer(10, 7))
     assert [tuple(r) for r in experts.answers_per_tag_user(posts).collect()] == [("a", 7, 2)]
@@ -121,6 +130,8 @@ def busy(make_posts):
         question(1, 10, "<a><b>"),
         question(2, "", "<b>"),
         question(3, "", "<w>", kind="5"),
+        question(4, "", "<e>", kind=""),
+        question(5, "", "<n>", kind=None),
         answer(10, 7, 1, at(1)),
         answer(11, 7, 1, at(13)),
         answer(12, 8, 1, at(14)),
@@ -129,6 +140,8 @@ def busy(make_posts):
         answer(15, 7, 99, at(6)),
         answer(16, 7, 1, "bad-date"),
         answer(17, 7, 10, at(6)),  # its parent is an answer
+        answer(18, 7, 4, at(6)),
+        answer(19, 7, 5, at(6)),
     )
 
 
@@ -156,6 +169,8 @@ def test_activity_of_experts(spark, busy):
         "a": "a,TimeSlot0:1,TimeSlot2:1",
         "b": "b,TimeSlot0:1,TimeSlot2:1",
         "w": "w,TimeSlot1:1",
+        "e": "e,TimeSlot1:1",
+        "n": "n,TimeSlot1:1",
     }
     others = spark.createDataFrame([(8,)], "user_id bigint")
     assert as_dict(reports.activity_report_experts(busy, others), "tag", "histogram") == {

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 from collections.abc import Callable
+from types import ModuleType
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -188,7 +191,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return reports.experts_report(derived.posts(spark, "/root/testdata/sf0.001"))
 
 
+def _llm() -> ModuleType | None:
+    """The queries of the training-data operators, where that part of the package is."""
+    found = importlib.util.find_spec("forumlens.llm")
+    return importlib.import_module("forumlens.llm.queries") if found and found.origin else None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    llm = _llm()
+    return _post_queries() | (llm.queries() if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    llm = _llm()
+    return _post_sql() | (llm.oracle_sql() if llm else {})
+
+
+def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     posts, xl = derived.posts, derived.posts_xl
     accepted = ("post_id", "post_type_id", "accepted_answer_id", "creation_date", "owner_user_id", "tags")
     active = ("post_id", "post_type_id", "creation_date", "owner_user_id", "tags", "parent_id")
@@ -267,7 +286,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
 
 
-def oracle_sql() -> dict[str, str]:
+def _post_sql() -> dict[str, str]:
     sql, rounded = oracles.with_blocks, oracles.ROUNDED
     points = "part_points"
     list_of = "string_agg(CAST(user_id AS VARCHAR), ',' ORDER BY rank)"

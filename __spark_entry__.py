@@ -47,10 +47,25 @@ _CENTRE = (
 )
 
 
+# The same in both engines: every seventh id and type is odd in its own way
+_ODD_ID = (
+    "CASE WHEN accepted_answer_id = '' THEN '' ELSE CASE CAST(post_id AS BIGINT) % 7"
+    " WHEN 0 THEN '+' || accepted_answer_id WHEN 1 THEN ' ' || accepted_answer_id WHEN 2 THEN accepted_answer_id || ' '"
+    " WHEN 3 THEN accepted_answer_id || 'x' WHEN 4 THEN '-' || accepted_answer_id ELSE accepted_answer_id END END"
+)
+_ODD_TYPE = (
+    "CASE CAST(post_id AS BIGINT) % 7 WHEN 0 THEN '01' WHEN 1 THEN '1 ' WHEN 2 THEN 'word' WHEN 3 THEN NULL ELSE post_type_id END"
+)
+
+
 def _rounded(centres: DataFrame) -> DataFrame:
     return centres.selectExpr(*_CENTRE)
 
 
+def _at_rest(centres: DataFrame) -> DataFrame:
+    return centres.selectExpr(*_CENTRE, "at_rest")
+
+
 def scan_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "dump")
     files.write_csv(derived.posts_dump(spark, sf_dir), path)
@@ -64,6 +79,26 @@ def store_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.filter((F.col("post_type_id") == "1") & (F.col("owner_user_id") != "")).select(*_POSTS)
 
 
+def parse_or_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of which some have a sign, a blank or a letter."""
+    odd = derived.posts(spark, sf_dir).withColumn("accepted_answer_id", F.expr(_ODD_ID))
+    return validity.parse_or_drop(odd, "accepted_answer_id").select("post_id", "accepted_answer_id")
+
+
+def store_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored posts of which some have a type that only looks like a number, or none."""
+    path = new_path(spark, "store")
+    write_posts(derived.posts(spark, sf_dir).withColumn("post_type_id", F.expr(_ODD_TYPE)), path)
+    return load_posts(spark, path).select("post_id", "post_type_id", "owner_user_id")
+
+
+def store_scan_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "store")
+    write_posts(derived.posts(spark, sf_dir), path)
+    given = load_posts(spark, path).filter(F.col("post_type_id") == "2")
+    return given.select("post_id", "creation_date", "owner_user_id", "parent_id")
+
+
 def parse_date_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     created = parse_date("creation_date")
     return derived.posts(spark, sf_dir).select(
@@ -145,29 +180,24 @@ def kmeans_converged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.unconverged(clusters.step(_points(spark, sf_dir), POINT_CENTRES))
 
 
-def kmeans_fixed_iters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = clusters.kmeans(_points(spark, sf_dir), POINT_CENTRES, eps=0.0, max_iter=4)
-    return _rounded(clusters.centres_frame(spark, found))
-
-
 def kmeans_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "centres")
-    found = clusters.kmeans(_points(spark, sf_dir), POINT_CENTRES, eps=0.0, max_iter=3)
+    found = clusters.kmeans(_points(spark, sf_dir), POINT_CENTRES)
     files.write_centres(clusters.history_frame(spark, found), path)
-    return spark.read.parquet(path).selectExpr("iteration", *_CENTRE)
+    return spark.read.parquet(path).selectExpr("iteration", *_CENTRE, "at_rest")
 
 
 def kmeans_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = clusters.kmeans(_points(spark, sf_dir), POINT_CENTRES)
-    return _rounded(clusters.centres_frame(spark, found))
+    return _at_rest(clusters.centres_frame(spark, found))
 
 
 def kmeans_multi_config(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two inputs, one per configuration, two passes."""
+    """Two inputs, one per configuration."""
     first = clusters.points(derived.tag_points(spark, sf_dir)).withColumn("config", F.lit(1))
     second = clusters.points(derived.supplier_points(spark, sf_dir)).withColumn("config", F.lit(2))
-    found = clusters.kmeans(first.unionByName(second), INPUT_CENTRES, eps=0.0, max_iter=2)
-    return _rounded(clusters.centres_frame(spark, found))
+    found = clusters.kmeans(first.unionByName(second), INPUT_CENTRES)
+    return _at_rest(clusters.centres_frame(spark, found))
 
 
 def kmeans_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,7 +208,7 @@ def kmeans_prototype(spark: SparkSession, sf_dir: str) -> DataFrame:
         min_iter=2,
         space=clusters.NORMALISED,
     )
-    return _rounded(clusters.centres_frame(spark, found))
+    return _at_rest(clusters.centres_frame(spark, found))
 
 
 def _on(source: Callable, report: Callable, *args, **options) -> Callable[[SparkSession, str], DataFrame]:
@@ -215,11 +245,11 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         # Scans, filters, projections, scalars
         "scan_posts": scan_posts,
         "store_scan": store_scan,
+        "store_scan_answers": store_scan_answers,
+        "store_types": store_types,
         "valid_posts_accepted": _on(posts, lambda p: validity.valid_posts_accepted(p).select(*accepted)),
         "valid_posts_activity": _on(posts, lambda p: validity.valid_posts_activity(p).select(*active)),
-        "parse_or_drop": _on(
-            posts, lambda p: validity.parse_or_drop(p, "accepted_answer_id").select("post_id", "accepted_answer_id")
-        ),
+        "parse_or_drop": parse_or_drop,
         "explode_tags": _on(posts, lambda p: validity.explode_tags(p.select("post_id", "tags"))),
         "parse_date": parse_date_query,
         "time_slot": time_slot_query,
@@ -244,11 +274,9 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "topk_experts_store": _on(
             xl, lambda p: experts.topk_experts(experts.answers_per_tag_user_store(store.store_posts(p)))
         ),
-        "topk_experts_list": _on(posts, reports.experts_report),
         "experts_list_roundtrip": experts_list_roundtrip,
         "activity_counts": _on(posts, lambda p: activity.activity_counts(activity.activity_of_all(p))),
         "activity_counts_joined": _on(xl, lambda p: activity.count_slots(joins.join_parent(p))),
-        "activity_histogram": _on(posts, lambda p: activity.activity_histogram(activity.activity_of_all(p))),
         "activity_pivot": _on(posts, activity.activity_of_all),
         "activity_experts": _on(
             posts,
@@ -268,7 +296,6 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kmeans_update_normalised": kmeans_update_normalised,
         "kmeans_step": kmeans_step,
         "kmeans_converged": kmeans_converged,
-        "kmeans_fixed_iters": kmeans_fixed_iters,
         "kmeans_history": kmeans_history,
         "kmeans_loop": kmeans_loop,
         "kmeans_multi_config": kmeans_multi_config,
@@ -281,8 +308,8 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "activity_report_all_xl": _on(xl, reports.activity_report),
         "activity_report_experts": _on(posts, reports.activity_report_experts),
         "activity_report_experts_xl": _on(xl, reports.activity_report_experts),
-        "tag_clusters_report": _on(posts, lambda p: _rounded(reports.clusters_report(p, TAG_CENTRES))),
-        "tag_clusters_report_xl": _on(xl, lambda p: _rounded(reports.clusters_report(p, TAG_CENTRES_XL))),
+        "tag_clusters_report": _on(posts, lambda p: _at_rest(reports.clusters_report(p, TAG_CENTRES))),
+        "tag_clusters_report_xl": _on(xl, lambda p: _at_rest(reports.clusters_report(p, TAG_CENTRES_XL))),
     }
 
 
@@ -300,7 +327,8 @@ def _post_sql() -> dict[str, str]:
         return sql(select, extra=oracles.lloyd_steps(points, POINT_CENTRES, n, **options))
 
     def loop(name: str, centres: list, posts: str = "posts", **options) -> str:
-        last = f"SELECT {rounded} FROM passes WHERE pass = (SELECT max(pass) FROM passes)"
+        rest = "bool_and(rest) OVER (PARTITION BY config) AS at_rest"
+        last = f"SELECT {rounded}, {rest} FROM passes WHERE pass = (SELECT max(pass) FROM passes)"
         return sql(last, posts, extra=oracles.lloyd_loop(name, centres, **options))
 
     both = (
@@ -325,9 +353,13 @@ def _post_sql() -> dict[str, str]:
         "valid_posts_activity": sql(
             "SELECT post_id, post_type_id, creation_date, owner_user_id, tags, parent_id FROM valid_activity"
         ),
-        "parse_or_drop": sql("""
-  SELECT post_id, CAST(accepted_answer_id AS BIGINT) AS accepted_answer_id FROM posts
-  WHERE accepted_answer_id <> ''"""),
+        "parse_or_drop": sql(f"""
+  SELECT post_id, TRY_CAST(odd AS BIGINT) AS accepted_answer_id FROM (SELECT post_id, {_ODD_ID} AS odd FROM posts)
+  WHERE regexp_full_match(odd, '[+-]?[0-9]+')"""),
+        "store_scan_answers": sql(
+            "SELECT post_id, creation_date, owner_user_id, parent_id FROM posts WHERE post_type_id = '2'"
+        ),
+        "store_types": sql(f"SELECT post_id, {_ODD_TYPE} AS post_type_id, owner_user_id FROM posts"),
         "explode_tags": sql(f"SELECT post_id, unnest({oracles.SPLIT.format('tags')}) AS tag FROM posts"),
         "parse_date": sql("""
   SELECT CAST(post_id AS VARCHAR) AS post_id, CAST(year(created) AS INT) AS year, CAST(month(created) AS INT) AS month,
@@ -360,11 +392,9 @@ def _post_sql() -> dict[str, str]:
         "experts_store_counts": sql("SELECT tag, user_id, answers FROM counts_store", "posts_xl"),
         "topk_experts": sql("SELECT tag, rank, user_id, answers FROM experts"),
         "topk_experts_store": sql("SELECT tag, rank, user_id, answers FROM experts_store", "posts_xl"),
-        "topk_experts_list": sql(f"SELECT tag, {list_of} AS experts FROM experts GROUP BY tag"),
         "experts_list_roundtrip": sql("SELECT tag, rank, user_id FROM experts"),
         "activity_counts": sql("SELECT tag, slot, answers FROM slot_counts"),
         "activity_counts_joined": sql("SELECT tag, slot, answers FROM slot_counts", "posts_xl"),
-        "activity_histogram": sql(f"SELECT tag, {histogram} AS histogram FROM slot_counts GROUP BY tag"),
         "activity_pivot": sql(f"SELECT tag, {pivoted} FROM slot_counts GROUP BY tag"),
         "activity_experts": sql("SELECT tag, slot, answers FROM expert_slot_counts"),
         "avg_minutes_per_tag": sql("SELECT tag, avg_minutes FROM averages"),
@@ -388,14 +418,14 @@ def _post_sql() -> dict[str, str]:
             "SELECT config, count(*) FILTER (sqrt(pow(round_even(avg_minutes / 1590397.0::DOUBLE, 2) - cx, 2)"
             " + pow(round_even(popularity, 2) - cy, 2)) >= 1) AS moving FROM s1 GROUP BY config",
         ),
-        "kmeans_fixed_iters": steps(4, f"SELECT {rounded} FROM s4"),
-        "kmeans_history": steps(
-            3,
-            " UNION ALL ".join(f"SELECT {n} AS iteration, {rounded} FROM s{n}" for n in (1, 2, 3)),
+        "kmeans_history": sql(
+            f"SELECT pass AS iteration, {rounded}, rest AS at_rest FROM passes WHERE pass > 0",
+            extra=oracles.lloyd_loop(points, POINT_CENTRES),
         ),
         "kmeans_loop": loop(points, POINT_CENTRES),
         "kmeans_multi_config": sql(
-            f"SELECT {rounded} FROM s2", extra=both + oracles.lloyd_steps("inputs", INPUT_CENTRES, 2, own_config=True)
+            f"SELECT {rounded}, rest AS at_rest FROM passes WHERE pass = (SELECT max(pass) FROM passes)",
+            extra=both + oracles.lloyd_loop("inputs", INPUT_CENTRES, own_config=True),
         ),
         "kmeans_prototype": loop(points, PROTOTYPE_CENTRES, normalised=True),
         "experts_report": sql(f"SELECT tag, {list_of} AS experts FROM experts GROUP BY tag"),

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_EVEN, Decimal
+from itertools import count
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,13 +36,17 @@ class Centre(NamedTuple):
 
 @dataclass
 class Clustering:
-    """The last centres, all passes, and the configurations that came to rest."""
+    """The last centres, all passes, and the configurations that came to rest.
+
+    ``cycled`` tells that a set of centres came back, so that it never would rest.
+    """
 
     centres: list[Centre]
     sizes: dict[tuple[int, int], int]
     passes: int
     at_rest: dict[int, bool]
     history: list[tuple] = field(default_factory=list)
+    cycled: bool = False
 
     @property
     def converged(self) -> bool:
@@ -159,25 +164,29 @@ def kmeans(
     centres: DataFrame | Iterable,
     eps: float = 1.0,
     min_iter: int = 1,
-    max_iter: int = 100,
+    max_iter: int | None = None,
     space: str = RAW,
     keep_empty: bool = False,
 ) -> Clustering:
     """Passes until no cluster of any configuration moves by ``eps`` or more.
 
     In normalised space a move of exactly ``eps`` still counts as rest. A
-    cluster without points disappears unless ``keep_empty``. After ``max_iter``
-    passes the result says which configurations have not come to rest.
+    cluster without points disappears unless ``keep_empty``. Centres that come
+    back in a later pass would do so for ever: the loop ends there too. With
+    ``max_iter`` it ends after so many passes at the latest. Either way the
+    result marks the configurations that have not come to rest.
     """
-    if max_iter < 1:
+    if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
     current = as_centres(centres)
     table = keep(points, "points").persist()
     history: list[tuple] = []
+    seen = {tuple(current)}
+    cycled = False
     try:
-        for iteration in range(1, max_iter + 1):
+        for iteration in count(1):
             moved = step(table, current, space).collect()
-            history.extend((r.config, iteration, *r[1:]) for r in moved)
+            history.extend((r.config, iteration, *r[1:], bool(_at_rest(r.shift, eps, space))) for r in moved)
             found = {(r.config, r.center): r for r in moved}
             empty = [c for c in current if (c.config, c.center) not in found]
             at_rest = {c.config: True for c in current}
@@ -187,24 +196,34 @@ def kmeans(
             current.sort()
             if not current or (iteration >= min_iter and all(at_rest.values())):
                 break
+            cycled = tuple(current) in seen and not all(at_rest.values())
+            if cycled or iteration == max_iter:
+                break
+            seen.add(tuple(current))
     finally:
         table.unpersist()
     sizes = {key: r.size for key, r in found.items()}
-    return Clustering(current, sizes, iteration, at_rest, history)
+    return Clustering(current, sizes, iteration, at_rest, history, cycled)
 
 
 def centres_frame(spark: SparkSession, clustering: Clustering) -> DataFrame:
-    """(config, center, avg_minutes, popularity, size) of the last pass."""
-    rows = [(*c, clustering.sizes.get((c.config, c.center), 0)) for c in clustering.centres]
+    """(config, center, avg_minutes, popularity, size, at_rest) of the last pass.
+
+    ``at_rest`` tells whether no cluster of the configuration moved any more.
+    """
+    rows = [
+        (*c, clustering.sizes.get((c.config, c.center), 0), bool(clustering.at_rest.get(c.config, True)))
+        for c in clustering.centres
+    ]
     return spark.createDataFrame(
-        rows, "config int, center int, avg_minutes double, popularity double, size bigint"
+        rows, "config int, center int, avg_minutes double, popularity double, size bigint, at_rest boolean"
     )
 
 
 def history_frame(spark: SparkSession, clustering: Clustering) -> DataFrame:
-    """The centres of every pass, as ``write_centres`` takes them."""
+    """The centres of every pass, as ``write_centres`` takes them; ``at_rest`` is of the single centre."""
     return spark.createDataFrame(
         clustering.history,
         "config int, iteration int, center int, avg_minutes double, popularity double,"
-        " size bigint, shift double",
+        " size bigint, shift double, at_rest boolean",
     )

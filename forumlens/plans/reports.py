@@ -70,6 +70,6 @@ def clusters_report(
     popularity: DataFrame | None = None,
     **options,
 ) -> DataFrame:
-    """(config, center, avg_minutes, popularity, size): the clusters of the tags."""
+    """(config, center, avg_minutes, popularity, size, at_rest): the clusters of the tags."""
     points = clusters.points(features(posts, popularity))
     return clusters.centres_frame(posts.sparkSession, clusters.kmeans(points, centres, **options))

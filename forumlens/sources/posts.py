@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from forumlens.sources.records import read_records
 
@@ -68,7 +69,11 @@ def write_posts(posts: DataFrame, path: str) -> None:
 
 
 def load_posts(spark: SparkSession, path: str) -> DataFrame:
-    """Posts stored by ``write_posts``; the type is text again."""
-    return spark.read.parquet(path).withColumn(
-        "post_type_id", F.col("post_type_id").cast("string")
-    )
+    """Posts stored by ``write_posts``, each type as the text it was.
+
+    Folder names read as numbers would turn ``01`` into ``1``, so the schema names
+    the type as text. An empty type is missing, as in ``read_posts``.
+    """
+    found = spark.read.parquet(path).schema
+    fields = [StructField(f.name, StringType()) if f.name == "post_type_id" else f for f in found]
+    return spark.read.schema(StructType(fields)).parquet(path)

@@ -169,9 +169,13 @@ def _values(centres) -> str:
     return f"SELECT * FROM (VALUES {rows}) AS v(config, center, avg_minutes, popularity)"
 
 
-def _xy(table: str, divide: bool = True) -> str:
+def _x(table: str, divide: bool = True) -> str:
     by = " / 1590397.0::DOUBLE" if divide else ""
-    return f"round_even(CAST({table}.avg_minutes AS DOUBLE){by}, 2), round_even(CAST({table}.popularity AS DOUBLE), 2)"
+    return f"round_even(CAST({table}.avg_minutes AS DOUBLE){by}, 2)"
+
+
+def _y(table: str) -> str:
+    return f"round_even(CAST({table}.popularity AS DOUBLE), 2)"
 
 
 def _assigned(points: str, centres: str, own_config: bool = False) -> str:
@@ -184,14 +188,12 @@ def _assigned(points: str, centres: str, own_config: bool = False) -> str:
 
 
 def _scaled(table: str, divide: bool = True) -> str:
-    x, y = _xy(table, divide).split("), round_even")
-    return f"SELECT config, center, {x}) AS cx, round_even{y} AS cy FROM {table}"
+    return f"SELECT config, center, {_x(table, divide)} AS cx, {_y(table)} AS cy FROM {table}"
 
 
 def lloyd_steps(points: str, centres, steps: int, own_config: bool = False, normalised: bool = False) -> str:
     """CTEs ``xy`` (points), ``s1`` ... ``s<steps>`` (new centres) and ``a1`` ... (assignments)."""
-    x, y = _xy("p").split("), round_even")
-    ctes = [f"xy AS (SELECT p.*, {x}) AS x, round_even{y} AS y FROM {points} p)", f"s0 AS ({_values(centres)})"]
+    ctes = [f"xy AS (SELECT p.*, {_x('p')} AS x, {_y('p')} AS y FROM {points} p)", f"s0 AS ({_values(centres)})"]
     first, second = ("x", "y") if normalised else ("avg_minutes", "popularity")
     for n in range(1, steps + 1):
         ctes.append(f"c{n} AS ({_scaled(f's{n - 1}', not normalised or n == 1)})")
@@ -204,32 +206,33 @@ def lloyd_steps(points: str, centres, steps: int, own_config: bool = False, norm
     return ",\n".join(ctes)
 
 
-def lloyd_loop(points: str, centres, normalised: bool = False, limit: int = 100) -> str:
+def lloyd_loop(points: str, centres, own_config: bool = False, normalised: bool = False) -> str:
     """CTE ``passes``: the centres of every pass until all of them are at rest.
 
-    The first pass has number 1. ``moving`` counts, over all configurations, the
-    clusters that still moved.
+    The first pass has number 1. ``rest`` tells whether a cluster is at rest, and
+    ``moving`` counts, over all configurations, those that still moved.
     """
-    x, y = _xy("p").split("), round_even")
     first, second = ("x", "y") if normalised else ("avg_minutes", "popularity")
     rest, least = ("<= 0.1", 2) if normalised else ("< 1", 1)
     by = "CASE WHEN pass = 0 THEN 1590397.0::DOUBLE ELSE 1.0::DOUBLE END" if normalised else "1590397.0::DOUBLE"
     nx = "round_even(avg_minutes, 2)" if normalised else "round_even(avg_minutes / 1590397.0::DOUBLE, 2)"
-    return f"""xy AS (SELECT p.*, {x}) AS x, round_even{y} AS y FROM {points} p),
+    on = "p.config = c.config" if own_config else "true"
+    return f"""xy AS (SELECT p.*, {_x("p")} AS x, {_y("p")} AS y FROM {points} p),
 start AS ({_values(centres)}),
 passes AS (
-  SELECT 0 AS pass, config, center, avg_minutes, popularity, CAST(0 AS BIGINT) AS size, CAST(1 AS BIGINT) AS moving
+  SELECT 0 AS pass, config, center, avg_minutes, popularity, CAST(0 AS BIGINT) AS size, false AS rest,
+    CAST(1 AS BIGINT) AS moving
   FROM start
   UNION ALL
-  SELECT pass, config, center, avg_minutes, popularity, size,
-    CAST(sum(CASE WHEN sqrt(pow({nx} - cx, 2) + pow(round_even(popularity, 2) - cy, 2)) {rest} THEN 0 ELSE 1 END)
-      OVER () AS BIGINT) AS moving
-  FROM (SELECT any_value(pass) AS pass, config, center, any_value(cx) AS cx, any_value(cy) AS cy,
-      avg(CAST({first} AS DOUBLE)) AS avg_minutes, avg(CAST({second} AS DOUBLE)) AS popularity, count(*) AS size
-    FROM (SELECT p.avg_minutes, p.popularity, p.x, p.y, c.pass, c.config, c.center, c.cx, c.cy,
-        row_number() OVER (PARTITION BY p.tag, c.config
-          ORDER BY sqrt(pow(p.x - c.cx, 2) + pow(p.y - c.cy, 2)), c.center) AS place
-      FROM xy p JOIN (SELECT pass + 1 AS pass, config, center, round_even(avg_minutes / {by}, 2) AS cx,
-          round_even(popularity, 2) AS cy FROM passes
-        WHERE (moving > 0 OR pass < {least}) AND pass < {limit}) c ON true)
-    WHERE place = 1 GROUP BY config, center))"""
+  SELECT pass, config, center, avg_minutes, popularity, size, rest,
+    CAST(sum(CASE WHEN rest THEN 0 ELSE 1 END) OVER () AS BIGINT) AS moving
+  FROM (SELECT *, sqrt(pow({nx} - cx, 2) + pow(round_even(popularity, 2) - cy, 2)) {rest} AS rest
+    FROM (SELECT any_value(pass) AS pass, config, center, any_value(cx) AS cx, any_value(cy) AS cy,
+        avg(CAST({first} AS DOUBLE)) AS avg_minutes, avg(CAST({second} AS DOUBLE)) AS popularity, count(*) AS size
+      FROM (SELECT p.avg_minutes, p.popularity, p.x, p.y, c.pass, c.config, c.center, c.cx, c.cy,
+          row_number() OVER (PARTITION BY p.tag, c.config
+            ORDER BY sqrt(pow(p.x - c.cx, 2) + pow(p.y - c.cy, 2)), c.center) AS place
+        FROM xy p JOIN (SELECT pass + 1 AS pass, config, center, round_even(avg_minutes / {by}, 2) AS cx,
+            round_even(popularity, 2) AS cy FROM passes
+          WHERE moving > 0 OR pass < {least}) c ON {on})
+      WHERE place = 1 GROUP BY config, center)))"""

@@ -100,6 +100,18 @@ def test_limit_of_passes_is_reported(spark):
     assert found.passes == 1 and found.at_rest == {1: False, 2: True} and not found.converged
 
 
+def test_centres_that_come_back_end_the_loop(spark):
+    """No move is below an eps of 0, so the centres of the second pass come back for ever."""
+    points = frame(spark, [("a", 0.0, 0.0), ("b", 0.0, 100.0)])
+    found = clusters.kmeans(points, [(1, 0, 0, 0), (1, 1, 0, 20)], eps=0.0)
+    assert found.cycled and found.passes == 2 and found.at_rest == {1: False}
+    assert [r.at_rest for r in clusters.centres_frame(spark, found).collect()] == [False, False]
+    rested = clusters.kmeans(points, [(1, 0, 0, 0), (1, 1, 0, 20)])
+    assert not rested.cycled and all(r.at_rest for r in clusters.centres_frame(spark, rested).collect())
+    moves = [(r.iteration, r.center, r.at_rest) for r in clusters.history_frame(spark, rested).collect()]
+    assert sorted(moves) == [(1, 0, True), (1, 1, False), (2, 0, True), (2, 1, True)]
+
+
 def test_empty_clusters(spark):
     points = frame(spark, [("a", 0.0, 0.0)])
     centres = [(1, 0, 0, 0), (1, 1, 0, 500)]

@@ -24,8 +24,8 @@ def column(spark, values, expression):
 
 
 def test_ids(spark):
-    given = ["7", "007", "-1", "", None, "abc", "7x", "1.5", "9" * 30]
-    assert column(spark, given, as_id("v")) == [7, 7, -1, None, None, None, None, None, None]
+    given = ["7", "007", "-1", "+5", "", None, "abc", "7x", "1.5", "9" * 30, "7 ", " 7", "+", "-", "+-5", "1 2"]
+    assert column(spark, given, as_id("v")) == [7, 7, -1, 5] + [None] * 12
 
 
 def test_tags(spark):

@@ -125,3 +125,11 @@ def test_a_local_session_gets_a_folder_of_its_own():
     assert shared_folder(local) == shared_folder(local)
     other = Cluster(spark__master="local[2]", spark__app__id="app-2")
     assert shared_folder(local) != shared_folder(other)
+
+
+def test_stored_types_stay_as_they_are(spark, make_posts, tmp_path):
+    kinds = ["1", "01", "1 ", "2", "3", "word", "", None]
+    posts = make_posts(*[(str(i), kind, "", "2020-01-01T00:00:00.000", "1", "", "") for i, kind in enumerate(kinds)])
+    write_posts(posts, str(tmp_path / "store"))
+    back = {r.post_id: r.post_type_id for r in load_posts(spark, str(tmp_path / "store")).collect()}
+    assert back == {str(i): kind or None for i, kind in enumerate(kinds)}

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 #: Words are runs of other characters than these.
 BLANK = r"[\x20\x09-\x0D]"
+BLANKS = " \t\n\v\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -47,7 +48,7 @@ def words(text: Column) -> Column:
 
 def n_words(text: Column) -> Column:
     """The number of words without making them: each run becomes one character."""
-    ended = F.rtrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\v\f\r"))
+    ended = F.rtrim(F.coalesce(text, F.lit("")), F.lit(BLANKS))
     return F.length(F.regexp_replace(ended, f"{BLANK}*{WORD}", "x"))
 
 

@@ -89,25 +89,28 @@ def infer(pages: DataFrame) -> DataFrame:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    loaded: OrderedDict[str, tuple[list[bool], int]] = OrderedDict()
+    loaded: OrderedDict[str, list[bool]] = OrderedDict()
     known: OrderedDict[tuple[str, str], list[bool]] = OrderedDict()
 
     def flags(page: wr.Page, nodes: list[wr.Node], wrapper: str | None, count: int | None) -> list[bool]:
         """Per text of the page whether it is content."""
-        found = wr.slots(nodes)
-        links = [sum(page.linked[p] for p in s.places) / sum(len(page.texts[p]) for p in s.places) for s in found]
-        own = wr.content_slots(nodes, 1, links)
-        pairs = list(zip(found, own, strict=True))
+        placed = wr.levels(nodes)
+        own = wr.content_slots(nodes, 1)
         if wrapper:
             if wrapper not in loaded:
-                loaded[wrapper] = (wr.content_slots(wr.load(wrapper), count or 1), count or 1)
+                loaded[wrapper] = wr.content_slots(wr.load(wrapper), count or 1)
                 if len(loaded) > REMEMBERED:
                     loaded.popitem(last=False)
-            pairs = wr.flags_of(nodes, wr.load(wrapper), loaded[wrapper][0], own)
+            pairs = wr.flags_of(nodes, wr.load(wrapper), loaded[wrapper], own)
+        else:
+            pairs = [(slot, take) for (slot, _), take in zip(placed, own, strict=True)]
+        # Outside any content element, text that is mostly links is a menu
+        body = max((x for _, x in placed), default=0) == 1
         result = [False] * len(page.texts)
         for slot, take in pairs:
+            links = sum(page.linked[p] for p in slot.places) > 0.5 * sum(len(page.texts[p]) for p in slot.places)
             for p in slot.places:
-                result[p] = take
+                result[p] = take and not (body and links)
         return result
 
     for batch in batches:

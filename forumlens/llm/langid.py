@@ -38,8 +38,8 @@ def fit(labelled: DataFrame, size: int = DICTIONARY_BYTES, rows: int = SAMPLE_RO
     """A dictionary per non-null language of ``labelled`` (``doc_id, text, lang``).
 
     Per language the ``rows`` texts with the smallest hashes of their ids are
-    looked at, and whole texts that still fit are joined up to ``size`` bytes.
-    A language whose texts all exceed it is learned from the shortest one. The
+    looked at, and whole texts that still fit are joined up to ``size`` bytes,
+    one at least. Texts of over four times ``size`` are not learned from. The
     result is empty if no row has a language and letters.
     """
     known = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("order"))

@@ -8,22 +8,40 @@ Lines that fail go; a document that loses too much of its text goes as a whole.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import BLANK, WORD, let, n_words, words
+from forumlens.llm.common import BLANK, BLANKS, WORD, let, n_words, words
 
 #: Symbols counted by the base figures.
 SYMBOLS = r"[#*$%&|<>]"
-#: A line ends like a sentence: a mark, perhaps closed by quotes or brackets.
-SENTENCE_END = r"[.!?:;…。！？][\"'”’»)\]]*$"
+#: A line ends like a sentence: one of these marks, perhaps closed by quotes or brackets.
+END_MARKS = (".", "!", "?", ":", ";", "…", "。", "！", "？")
+CLOSERS = "\"'”’»)]"
 NAVIGATION_WORDS = (
     r"^(home|menu|login|log in|sign in|sign up|register|search|contact|contact us|about|about us|sitemap|next|previous"
     r"|back|back to top|share|share this|skip to content|read more|main page)([ |>»/·•-]+|$)"
 )
 BOILERPLATE = (
-    r"all rights reserved|terms of (use|service)|privacy policy|cookie policy|uses cookies|accept cookies|copyright (©|\(c\))"
-    r"|enable javascript|licensed under the|powered by|click here|subscribe to (our|the)|lorem ipsum"
+    "all rights reserved",
+    "terms of use",
+    "terms of service",
+    "privacy policy",
+    "cookie policy",
+    "uses cookies",
+    "accept cookies",
+    "copyright ©",
+    "copyright (c)",
+    "enable javascript",
+    "licensed under the",
+    "powered by",
+    "click here",
+    "subscribe to our",
+    "subscribe to the",
+    "lorem ipsum",
 )
 #: A line without an end mark passes from so many words on.
 LONG_LINE = 20
@@ -48,9 +66,9 @@ def line_fails(line: Column) -> Column:
     length = F.length(line)
     symbols = length - F.length(F.regexp_replace(line, SYMBOLS, ""))
     separators = length - F.length(F.regexp_replace(line, SEPARATORS, ""))
-    unended = ~line.rlike(SENTENCE_END) & (n_words(line) < LONG_LINE)
-    low = F.lower(line)
-    return unended | (symbols > SYMBOL_SHARE * length) | (separators >= MENU_SEPARATORS) | low.rlike(NAVIGATION_WORDS) | low.rlike(BOILERPLATE)
+    unended = ~F.right(F.rtrim(line, F.lit(CLOSERS)), F.lit(1)).isin(*END_MARKS) & (n_words(line) < LONG_LINE)
+    notice = let(F.lower(line), lambda low: reduce(or_, [F.contains(low, F.lit(x)) for x in BOILERPLATE], low.rlike(NAVIGATION_WORDS)))
+    return unended | (symbols > SYMBOL_SHARE * length) | (separators >= MENU_SEPARATORS) | notice
 
 
 def lines(text: Column) -> Column:
@@ -89,7 +107,7 @@ def clean_lines(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``,
     ``base_failed``, ``kept``, ``n_lines`` (with a word), ``n_bad_lines`` and
-    ``clean_text`` (the lines that pass, joined by line breaks). A null or empty
+    ``clean_text`` (the lines that pass, without blanks at their ends, joined by line breaks). A null or empty
     text has no words, fails the base rules and has an empty clean text. Columns
     of ``docs`` with one of these names are replaced. Windows are compared by
     64-bit hashes. Every document is handled by itself: nothing is shuffled.
@@ -103,7 +121,7 @@ def clean_lines(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     step = step.withColumns(
         {
             "_line_grams": F.when(F.size(w) > WINDOW, windows).otherwise(none),
-            "_line_good": F.filter("_line_all", lambda x: ~line_fails(F.regexp_replace(x, f"^{BLANK}+|{BLANK}+$", ""))),
+            "_line_good": F.filter(F.transform("_line_all", lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: ~line_fails(x)),
             "n_words": F.size(w).cast("long"),
             "word_chars": _chars(text).cast("long"),
             "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"),

@@ -76,8 +76,9 @@ def mix(
     same = F.col("source").eqNullSafe(F.col("_mix_source"))
     expected = F.when(F.col("_mix_liked") > 0, F.least(F.lit(float(max_copies)), F.col("target") * likes / F.col("_mix_liked")))
     part = F.greatest(F.lit(0.0), F.col("_mix_expected") - F.col("_mix_sure"))
-    # Uniform in (0, 1), from 52 bits of a hash
-    uniform = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.coalesce(F.col("doc_id"), F.lit(-1))), 12) + 0.5) / float(2**52)
+    # Uniform in (0, 1), from 52 bits of a digest that other engines have too
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("doc_id").cast("string")).cast("binary"))
+    uniform = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") + 0.5) / float(2**52)
     odds = (F.col("_mix_u") / (1 - F.col("_mix_u"))) / (F.col("_mix_part") / (1 - F.col("_mix_part")))
     ranked = (
         rows.join(goals, same)

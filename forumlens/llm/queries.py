@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.llm import decontaminate, html_text, langid, line_rules, line_templates, mixing, quality, simhash, token_files, warc
-from forumlens.llm.common import id_remainder, ship, table
+from forumlens.llm.common import BLANK, WORD, id_remainder, ship, table
 from forumlens.session import new_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -109,5 +109,92 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: _ready(f) for f in own} | {"pipeline": corpus_pipeline.run}
 
 
+def _base_sql() -> str:
+    """The base figures of the line rules and the verdict, word by word."""
+    rules, word, blank = line_rules, WORD, BLANK
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    count = lambda pattern: f"(length(x) - length(regexp_replace(x, {quoted(pattern)}, '', 'g')))"
+    ended = f"right(rtrim(x, {quoted(rules.CLOSERS)}), 1) IN ({', '.join(map(quoted, rules.END_MARKS))})"
+    notice = " OR ".join(f"contains(lower(x), {quoted(x)})" for x in rules.BOILERPLATE)
+    fails = f"""((NOT {ended} AND len(regexp_extract_all(x, {quoted(word)})) < {rules.LONG_LINE})
+    OR {count(rules.SYMBOLS)} > {rules.SYMBOL_SHARE} * length(x) OR {count(rules.SEPARATORS)} >= {rules.MENU_SEPARATORS}
+    OR regexp_matches(lower(x), {quoted(rules.NAVIGATION_WORDS)}) OR {notice})"""
+    return rf"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+split AS (SELECT doc_id, text, regexp_extract_all(text, '{word}') AS w FROM texts),
+windows AS (SELECT doc_id, i, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS five FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM split)),
+repeated AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, five) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest(range(i, i + 5)) AS p FROM repeated) GROUP BY doc_id),
+lines AS (SELECT doc_id, line, regexp_replace(line, '^{blank}+|{blank}+$', '', 'g') AS x
+  FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts) WHERE regexp_matches(line, '{word}')),
+judged AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines,
+    sum(CASE WHEN {fails} THEN length(regexp_replace(x, '{blank}', '', 'g')) ELSE 0 END) AS lost FROM lines GROUP BY doc_id),
+base AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(text, '{blank}', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '{rules.SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    coalesce(lost, 0) AS lost
+  FROM split LEFT JOIN judged USING (doc_id) LEFT JOIN covered USING (doc_id))
+SELECT * EXCLUDE (lost), n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND lost <= {rules.MAX_LOSS} * word_chars AS kept FROM base"""
+
+
+def _leaks_sql() -> str:
+    """All aligned windows of all items, compared shingle by shingle."""
+    return rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
+ds AS (SELECT doc_id, len(w) AS nd, i AS pos, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS h
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 4)) AS i FROM d)),
+b AS (SELECT item_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM benchmark),
+bs AS (SELECT item_id, len(w) AS n, i AS place, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS h
+  FROM (SELECT item_id, w, unnest(range(len(w) - 4)) AS i FROM b)),
+windows AS (SELECT DISTINCT doc_id, item_id, n, greatest(0, least(pos - place, nd - n)) AS word FROM ds JOIN bs USING (h)),
+seen AS (SELECT doc_id, item_id, word, ds.h, count(*) AS c FROM windows JOIN ds USING (doc_id)
+  WHERE pos BETWEEN word AND word + n - 5 GROUP BY ALL),
+item AS (SELECT item_id, h, count(*) AS c FROM bs GROUP BY ALL),
+pairs AS (SELECT doc_id, item_id, word, sum(least(seen.c, item.c)) AS common FROM seen JOIN item USING (item_id, h) GROUP BY ALL),
+sizes AS (SELECT doc_id, item_id, word, sum(c) AS size FROM seen GROUP BY ALL),
+alike AS (SELECT doc_id, item_id, word, CAST(common AS DOUBLE) / (sizes.size + (SELECT sum(c) FROM item i WHERE i.item_id = pairs.item_id) - common) AS s
+  FROM pairs JOIN sizes USING (doc_id, item_id, word))
+SELECT doc_id, item_id, round(s, 6) AS similarity, CAST(word AS BIGINT) AS word
+FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY s DESC, word) AS place FROM alike
+  WHERE s >= {decontaminate.SIMILARITY}) WHERE place = 1"""
+
+
+def _mix_sql(seed: int = 10) -> str:
+    """The mix with each source's documents in one order, by a running sum over all of it."""
+    most, weights = mixing.MAX_COPIES, list(mixing.WEIGHTS)
+    return rf"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, {weights}[CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(weights)} + 1 AS INT)] AS weight FROM s),
+shares AS (SELECT *, (sum(source_size) OVER () - coalesce({most} * sum(source_size) OVER before, 0))
+    / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS share
+  FROM w WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (SELECT source, source_size, least(CAST({most} * source_size AS DOUBLE), weight *
+    (SELECT arg_min(share, source_size / weight) FROM shares WHERE share * weight <= {most} * source_size)) AS target FROM shares),
+e AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN least({most}.0::DOUBLE, target / source_size) ELSE 0 END AS ratio,
+    (CAST('0x' || substr(md5('{seed}:' || doc_id), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
+  FROM d JOIN goals USING (source)),
+p AS (SELECT *, floor(ratio + 1e-12::DOUBLE) AS sure, greatest(0, ratio - floor(ratio + 1e-12::DOUBLE)) AS part FROM e),
+o AS (SELECT *, greatest(0, target - sure * source_size) AS lack, sum(size) OVER (PARTITION BY source
+    ORDER BY (u / (1 - u)) / (part / (1 - part)), doc_id, size ROWS UNBOUNDED PRECEDING) AS running FROM p WHERE part > 0),
+taken AS (SELECT doc_id, size, source_size, target, sure + CASE WHEN running - size / 2 <= lack THEN 1 ELSE 0 END AS copies FROM o
+  UNION ALL SELECT doc_id, size, source_size, target, sure FROM p WHERE part = 0)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken FROM taken"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """For the operators that SQL can express; the others are tested against brute force."""
+    return {
+        "op6_decontamination": _leaks_sql(),
+        "op7_warc": f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+k AS (SELECT page_id, html, strlen(html) AS n, max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN n >= {warc.MIN_REVISIT_BYTES} AND page_id <> newest THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= {warc.MIN_REVISIT_BYTES} AND page_id <> newest THEN newest END AS refers_to FROM k""",
+        "op8_quality_rules": _base_sql(),
+        "op10_mixing": _mix_sql(),
+    }

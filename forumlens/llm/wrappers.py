@@ -282,19 +282,17 @@ def flags_of(page: list[Node], wrapper: list[Node], content: list[bool], own: li
     return [(s, flags.get(id(s), False)) for s in slots(p)]
 
 
-def content_slots(nodes: list[Node], pages: int, linked: list[float] | None = None) -> list[bool]:
-    """Per slot whether it is main text, from the elements around it.
+def levels(nodes: list[Node]) -> list[tuple[Node, int]]:
+    """The text slots and where they stand.
 
-    An article's text counts if there is any, else that of the main element, else of
-    an element named as content, else that of the body without text that is mostly
-    links or, from TEMPLATE_PAGES pages on, the same on all pages. Elements that are boilerplate by
-    tag or name never count, headers only inside an article or main element.
+    0 is boilerplate by tag or name of an element around it (headers only outside
+    articles and main elements), 1 the body, 2 an element named as content, 3 the
+    main element, 4 an article.
     """
     found: list[tuple[Node, int]] = []
     stack: list[tuple[str, frozenset[str]]] = []
 
     def level() -> int:
-        """0 boilerplate, 1 body, 2 content by name, 3 main, 4 article."""
         best = 1
         for name, words in stack:
             if name in BOILERPLATE_TAGS or words & BOILERPLATE_WORDS:
@@ -316,8 +314,7 @@ def content_slots(nodes: list[Node], pages: int, linked: list[float] | None = No
             elif n.nodes:
                 walk(n.nodes)
             elif n.key[0] == "/":
-                names = [s[0] for s in stack]
-                if n.key[1:] in names:
+                if n.key[1:] in [s[0] for s in stack]:
                     while stack.pop()[0] != n.key[1:]:
                         pass
             else:
@@ -328,15 +325,19 @@ def content_slots(nodes: list[Node], pages: int, linked: list[float] | None = No
                     stack.append((name, frozenset(words)))
 
     walk(nodes)
+    return found
+
+
+def content_slots(nodes: list[Node], pages: int) -> list[bool]:
+    """Per slot whether it is main text.
+
+    Text at the highest level that occurs counts. If that is the body, text that is
+    the same on all pages, TEMPLATE_PAGES at least, is the template's.
+    """
+    found = levels(nodes)
     best = max((x for _, x in found), default=0)
-    result = []
-    for i, (node, x) in enumerate(found):
-        take = best > 0 and x == best
-        if take and best == 1:
-            template = pages >= TEMPLATE_PAGES and node.same is not None
-            take = not template and not (linked and linked[i] > 0.5)
-        result.append(take)
-    return result
+    template = best == 1 and pages >= TEMPLATE_PAGES
+    return [best > 0 and x == best and not (template and n.same is not None) for n, x in found]
 
 
 def dump(nodes: list[Node]) -> str:

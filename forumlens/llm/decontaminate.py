@@ -17,7 +17,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import words
+from forumlens.llm.common import let, words
 from forumlens.session import keep
 
 SHINGLE = 5
@@ -31,8 +31,13 @@ BROADCAST_SHINGLES = 1_000_000
 
 def _shingles(w: Column) -> Column:
     """Hashes of the five-word shingles of an array of words, in order."""
-    hashes = F.transform(F.sequence(F.lit(0), F.size(w) - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)]))
-    return F.when(F.size(w) >= SHINGLE, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    def of(bound: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(bound) - SHINGLE), lambda i: F.xxhash64(*[F.get(bound, i + k) for k in range(SHINGLE)]))
+        return F.when(F.size(bound) >= SHINGLE, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    # Bound once: put into the function by the optimizer, the words would be split anew for each shingle
+    return let(w, of)
 
 
 def _simhash(hashes: Column) -> Column:

@@ -102,40 +102,59 @@ def _repeated_words(grams: Column) -> Column:
     return F.when(F.size(F.array_distinct(grams)) < F.size(grams), let(pairs, repeated)).otherwise(F.lit(0).cast("long"))
 
 
+def _figures(text: Column) -> Column:
+    """All figures of a text as one struct.
+
+    Each array is bound once: as columns of their own they could be put into each
+    other by the optimizer, and made anew for every element.
+    """
+
+    def windows(w: Column) -> Column:
+        hashes = F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]))
+        return F.when(F.size(w) > WINDOW, hashes).otherwise(F.array().cast("array<bigint>"))
+
+    def of_words(w: Column) -> Column:
+        return F.struct(F.size(w).cast("long").alias("n_words"), let(windows(w), _repeated_words).alias("n_repeat_words"))
+
+    def of_lines(all_lines: Column) -> Column:
+        good = F.filter(F.transform(all_lines, lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: ~line_fails(x))
+        return let(
+            good,
+            lambda g: F.struct(
+                F.size(all_lines).cast("long").alias("n_lines"),
+                (F.size(all_lines) - F.size(g)).cast("long").alias("n_bad_lines"),
+                (F.size(all_lines) - F.size(F.array_distinct(all_lines))).cast("long").alias("n_dup_lines"),
+                F.array_join(g, "\n").alias("clean_text"),
+            ),
+        )
+
+    def of_text(t: Column) -> Column:
+        return F.struct(
+            let(words(t), of_words).alias("w"),
+            let(lines(t), of_lines).alias("l"),
+            _chars(t).cast("long").alias("word_chars"),
+            (F.length(t) - F.length(F.regexp_replace(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        )
+
+    return let(F.coalesce(text, F.lit("")), of_text)
+
+
 def clean_lines(docs: DataFrame, max_loss: float = MAX_LOSS) -> DataFrame:
     """The columns of ``docs`` with the figures, the verdict and ``clean_text``.
 
     Adds ``n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words``,
     ``base_failed``, ``kept``, ``n_lines`` (with a word), ``n_bad_lines`` and
-    ``clean_text`` (the lines that pass, without blanks at their ends, joined by line breaks). A null or empty
-    text has no words, fails the base rules and has an empty clean text. Columns
-    of ``docs`` with one of these names are replaced. Windows are compared by
-    64-bit hashes. Every document is handled by itself: nothing is shuffled.
+    ``clean_text`` (the lines that pass, without blanks at their ends, joined by
+    line breaks). A null or empty text has no words, fails the base rules and has
+    an empty clean text. Columns of ``docs`` with one of these names are
+    replaced. Windows are compared by 64-bit hashes. Every document is handled
+    by itself: nothing is shuffled.
     """
-    made = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_bad_lines", "clean_text")
-    text = F.coalesce(F.col("text"), F.lit(""))
-    w = F.col("_line_words")
-    windows = F.transform(F.sequence(F.lit(0), F.size(w) - WINDOW), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(WINDOW)]))
-    none = F.array().cast("array<bigint>")
-    step = docs.drop(*made).withColumns({"_line_words": words(F.col("text")), "_line_all": lines(F.col("text"))})
-    step = step.withColumns(
-        {
-            "_line_grams": F.when(F.size(w) > WINDOW, windows).otherwise(none),
-            "_line_good": F.filter(F.transform("_line_all", lambda x: F.btrim(x, F.lit(BLANKS))), lambda x: ~line_fails(x)),
-            "n_words": F.size(w).cast("long"),
-            "word_chars": _chars(text).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.regexp_replace(text, SYMBOLS, ""))).cast("long"),
-        }
-    )
-    step = step.withColumns(
-        {
-            "n_lines": F.size("_line_all").cast("long"),
-            "n_bad_lines": (F.size("_line_all") - F.size("_line_good")).cast("long"),
-            "n_dup_lines": (F.size("_line_all") - F.size(F.array_distinct("_line_all"))).cast("long"),
-            "n_repeat_words": _repeated_words(F.col("_line_grams")),
-            "clean_text": F.array_join("_line_good", "\n"),
-        }
-    )
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
-    lost = F.col("word_chars") - _chars(F.col("clean_text"))
-    return step.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & (lost <= max_loss * F.col("word_chars"))).drop("_line_words", "_line_all", "_line_grams", "_line_good")
+    f = "_line_figures"
+    made = {name: F.col(f"{f}.w.{name}") for name in ("n_words", "n_repeat_words")}
+    made |= {name: F.col(f"{f}.l.{name}") for name in ("n_lines", "n_bad_lines", "n_dup_lines", "clean_text")}
+    made |= {name: F.col(f"{f}.{name}") for name in ("word_chars", "n_symbols")}
+    failed = (made["n_words"] < MIN_WORDS) | (100 * made["n_repeat_words"] > MAX_REPEATED_PERCENT * made["n_words"])
+    lost = made["word_chars"] - _chars(made["clean_text"])
+    made |= {"base_failed": failed, "kept": ~failed & (lost <= max_loss * made["word_chars"])}
+    return docs.drop(*made).withColumn(f, _figures(F.col("text"))).withColumns(made).drop(f)

@@ -45,8 +45,9 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_copies: in
     words_left = F.sum("source_size").over(whole) - F.coalesce(F.sum(max_copies * F.col("source_size")).over(before), F.lit(0))
     weight_left = F.sum("_w").over(whole) - F.coalesce(F.sum("_w").over(before), F.lit(0))
     shared = weighed.withColumn("_share", words_left / weight_left).withColumn("_limit", max_copies * F.col("source_size"))
-    below = F.when(F.col("_share") * F.col("_w") <= F.col("_limit"), F.struct(level.alias("level"), F.col("_share").alias("share")))
-    target = F.least(F.col("_limit").cast("double"), F.col("_w") * F.min(below).over(whole)["share"])
+    below = F.when(F.col("_share") * F.col("_w") <= F.col("_limit"), F.struct(level.alias("level"), (-F.col("_share")).alias("minus")))
+    # Of sources at one level the first has the largest share; those after it count it as stopped
+    target = F.least(F.col("_limit").cast("double"), F.col("_w") * -F.min(below).over(whole)["minus"])
     return shared.withColumn("target", target).drop("_w", "_share", "_limit")
 
 

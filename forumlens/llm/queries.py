@@ -173,7 +173,7 @@ shares AS (SELECT *, (sum(source_size) OVER () - coalesce({most} * sum(source_si
     / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS share
   FROM w WINDOW before AS (ORDER BY source_size / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 goals AS (SELECT source, source_size, least(CAST({most} * source_size AS DOUBLE), weight *
-    (SELECT arg_min(share, source_size / weight) FROM shares WHERE share * weight <= {most} * source_size)) AS target FROM shares),
+    (SELECT share FROM shares WHERE share * weight <= {most} * source_size ORDER BY source_size / weight, share DESC LIMIT 1)) AS target FROM shares),
 e AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN least({most}.0::DOUBLE, target / source_size) ELSE 0 END AS ratio,
     (CAST('0x' || substr(md5('{seed}:' || doc_id), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE AS u
   FROM d JOIN goals USING (source)),

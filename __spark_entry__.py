@@ -68,7 +68,11 @@ def _at_rest(centres: DataFrame) -> DataFrame:
 
 def scan_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "dump")
-    files.write_csv(derived.posts_dump(spark, sf_dir), path)
+    dump = derived.posts_dump(spark, sf_dir)
+    files.write_csv(dump, path)
+    # Lines with too few fields, too many, or an open quote
+    broken = "CASE CAST(post_id AS BIGINT) % 3 WHEN 0 THEN '1,2,3' WHEN 1 THEN repeat(',x', 40) ELSE '5,1,\"open' END AS value"
+    dump.where("CAST(post_id AS BIGINT) % 50 = 7").selectExpr(broken).write.mode("append").text(path)
     return read_posts(spark, path)
 
 
@@ -141,10 +145,78 @@ def experts_list_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tag_features_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "tag-features")
-    files.write_csv(reports.features(derived.posts(spark, sf_dir)), path)
+    found = reports.features(derived.posts(spark, sf_dir))
+    files.write_csv(found, path)
+    found.selectExpr("concat(tag, ',1') AS value").write.mode("append").text(path)
     return files.read_tag_features(spark, path)
 
 
+def _stored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts in all columns of a dump, as read from one."""
+    path = new_path(spark, "dump")
+    files.write_csv(derived.posts_dump(spark, sf_dir), path)
+    return read_posts(spark, path)
+
+
+def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every post twice, the older version with other values."""
+    path = new_path(spark, "snapshot")
+    posts = _stored_posts(spark, sf_dir)
+    older = posts.withColumns({"creation_date": F.lit("1999-01-01T00:00:00.000"), "title": F.lit("old"), "score": F.lit("0")})
+    store.write_snapshot(posts.unionByName(older.where("creation_date IS NOT NULL")), path)
+    return store.read_snapshot(spark, path).withColumn("post_id", F.col("post_id").cast("string"))
+
+
+def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored snapshot with later versions of every fifth post and earlier ones of every seventh."""
+    first, second = new_path(spark, "snapshot"), new_path(spark, "snapshot")
+    posts = derived.posts(spark, sf_dir)
+    store.write_snapshot(posts, first)
+    later = posts.where("CAST(post_id AS BIGINT) % 5 = 0")
+    earlier = posts.where("CAST(post_id AS BIGINT) % 7 = 0 AND CAST(post_id AS BIGINT) % 5 <> 0")
+    edits = later.withColumns({"creation_date": F.lit("later"), "owner_user_id": F.lit("77")}).unionByName(
+        earlier.withColumns({"creation_date": F.lit("1900-01-01T00:00:00.000"), "owner_user_id": F.lit("88")})
+    )
+    store.upsert_snapshot(spark, first, edits, second)
+    return store.read_snapshot(spark, second).select("post_id", "post_type_id", "creation_date", "owner_user_id", "tags")
+
+
+def _snapshot(spark: SparkSession, posts: DataFrame, **options) -> DataFrame:
+    path = new_path(spark, "snapshot")
+    store.write_snapshot(posts, path, **options)
+    return store.read_snapshot(spark, path)
+
+
+def experts_report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.experts_report_snapshot(_snapshot(spark, derived.posts_xl(spark, sf_dir)))
+
+
+def activity_report_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Experts from the list file of the experts report, posts from a stored snapshot."""
+    path, posts = new_path(spark, "experts-list"), derived.posts(spark, sf_dir)
+    files.write_text(reports.experts_report(posts), path)
+    users = keep(files.read_experts(spark, path).select("user_id").distinct(), "experts")
+    newest = _snapshot(spark, posts, valid=validity.valid_posts_activity_store)
+    return reports.activity_report_snapshot(newest, users)
+
+
+def tag_clusters_report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Popularity and starting centres from files, some lines of which repeat a tag or are no numbers."""
+    posts = derived.posts(spark, sf_dir)
+    path = new_path(spark, "popularity")
+    popular = activity.tag_popularity(posts)
+    files.write_csv(popular, path)
+    popular.selectExpr("concat(tag, ',1') AS value").write.mode("append").text(path)
+    popular.selectExpr("concat(tag, ',many') AS value").write.mode("append").text(path)
+    paths = {}
+    for config in (1, 2):
+        paths[config] = new_path(spark, "centres")
+        lines = "\n".join(f"{m},{p}" for c, _, m, p in TAG_CENTRES if c == config)
+        spark.createDataFrame([(lines,)], "value string").write.text(paths[config])
+    centres = files.read_centres(spark, paths)
+    return _at_rest(reports.clusters_report(posts, centres, files.read_popularity(spark, path)))
+
+
 def point_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _points(spark, sf_dir).selectExpr("tag", "round(x, 4) + 0.0D AS x", "round(y, 4) + 0.0D AS y")
 
@@ -256,6 +328,8 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "minutes_to_answer": minutes_to_answer,
         # Snapshots
         "latest_posts": _on(xl, lambda p: validity.typed(store.latest_posts(validity.valid_posts_store(p))).select(*_POSTS)),
+        "snapshot_roundtrip": snapshot_roundtrip,
+        "snapshot_upsert": snapshot_upsert,
         "activity_store": _on(posts, lambda p: store.activity_store(p).drop("created")),
         # Joins
         "join_accepted": _on(posts, joins.join_accepted),
@@ -309,6 +383,9 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "activity_report_experts": _on(posts, reports.activity_report_experts),
         "activity_report_experts_xl": _on(xl, reports.activity_report_experts),
         "tag_clusters_report": _on(posts, lambda p: _at_rest(reports.clusters_report(p, TAG_CENTRES))),
+        "experts_report_snapshot": experts_report_snapshot,
+        "activity_report_snapshot": activity_report_snapshot,
+        "tag_clusters_report_files": tag_clusters_report_files,
         "tag_clusters_report_xl": _on(xl, lambda p: _at_rest(reports.clusters_report(p, TAG_CENTRES_XL))),
     }
 
@@ -334,8 +411,7 @@ def _post_sql() -> dict[str, str]:
     both = (
         "inputs AS (SELECT 1 AS config, * FROM part_points UNION BY NAME SELECT 2 AS config, * FROM supplier_points),\n"
     )
-    return {
-        "scan_posts": sql("""
+    dump = """
   SELECT post_id, post_type_id,
     nullif(CASE WHEN post_type_id <> '2' THEN accepted_answer_id END, '') AS accepted_answer_id, creation_date,
     CAST(CAST(post_id AS BIGINT) % 17 AS VARCHAR) AS score, CAST(CAST(post_id AS BIGINT) % 1000 AS VARCHAR) AS view_count,
@@ -345,7 +421,18 @@ def _post_sql() -> dict[str, str]:
     CAST(CAST(post_id AS BIGINT) % 9 AS VARCHAR) AS comment_count,
     CAST(CAST(post_id AS BIGINT) % 5 AS VARCHAR) AS favorite_count, CAST(NULL AS VARCHAR) AS community_owned_date,
     'On "' || owner_user_id || '", part ' || post_id AS title,
-    CASE WHEN post_type_id = '2' THEN parent_id END AS parent_id FROM posts"""),
+    CASE WHEN post_type_id = '2' THEN parent_id END AS parent_id FROM posts"""
+    return {
+        "scan_posts": sql(dump),
+        "snapshot_roundtrip": sql(f"{dump} WHERE post_type_id IN ('1', '2')"),
+        "snapshot_upsert": sql("""
+  SELECT CAST(post_id AS BIGINT) AS post_id, post_type_id,
+    CASE WHEN CAST(post_id AS BIGINT) % 5 = 0 THEN 'later' ELSE creation_date END AS creation_date,
+    CASE WHEN CAST(post_id AS BIGINT) % 5 = 0 THEN '77' ELSE owner_user_id END AS owner_user_id, tags
+  FROM posts WHERE post_type_id IN ('1', '2')"""),
+        "experts_report_snapshot": sql(f"SELECT tag, {list_of} AS experts FROM experts_store GROUP BY tag", "posts_xl"),
+        "activity_report_snapshot": sql(f"SELECT tag, {histogram} AS histogram FROM expert_slot_counts GROUP BY tag"),
+        "tag_clusters_report_files": loop("complete", TAG_CENTRES),
         "store_scan": sql(f"SELECT {', '.join(_POSTS)} FROM posts WHERE post_type_id = '1' AND owner_user_id <> ''"),
         "valid_posts_accepted": sql(
             "SELECT post_id, post_type_id, accepted_answer_id, creation_date, owner_user_id, tags FROM valid_accepted"

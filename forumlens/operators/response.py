@@ -30,9 +30,11 @@ def _mean(rows: DataFrame) -> DataFrame:
 def avg_minutes_per_tag(posts: DataFrame, on_bad_date: int | None = None) -> DataFrame:
     """Mean minutes from question to accepted answer per tag.
 
-    Copies of a post share its date, so they are counted before the join and
-    meet as one row. Both sides grow with the posts, so neither is broadcast.
-    ``on_bad_date=-1`` lets unreadable dates enter the mean as
+    Posts of one id and date are counted before the join and meet as one row, so
+    copies cost nothing. Versions of a post with different dates do meet one by
+    one: an id with ``n`` dates as question and ``m`` as answer gives ``n * m``
+    rows. Take a snapshot first if a post may have many dates. Both sides grow
+    with the posts, so neither is broadcast. ``on_bad_date=-1`` lets unreadable dates enter the mean as
     minus one minute; by default they are left out.
     """
     valid = valid_posts_accepted(posts)

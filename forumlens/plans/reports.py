@@ -7,14 +7,14 @@ written to the shared folder first, because more than one job reads them.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 
 from forumlens.functions.dates import TIME_SLOTS
 from forumlens.operators import activity, clusters, experts, response
 from forumlens.operators.joins import tag_features
-from forumlens.operators.store import activity_store, store_posts
+from forumlens.operators.store import VERSION, activity_store, activity_view, store_posts, store_view
 from forumlens.session import keep
 
 
@@ -26,13 +26,24 @@ def experts_report(
     return experts.experts_list(experts.topk_experts(counts, k))
 
 
-def experts_report_store(posts: DataFrame, k: int = experts.TOP_K) -> DataFrame:
+def experts_report_store(
+    posts: DataFrame, k: int = experts.TOP_K, order_by: Sequence[str] = VERSION, unique_ids: bool = False
+) -> DataFrame:
     """The same from the newest version of every post.
 
     It needs an owner for the question too, but neither a date nor a question
     to be answered by a post of type answer.
     """
-    counts = experts.answers_per_tag_user_store(store_posts(posts))
+    return _experts_of_store(store_posts(posts, order_by, unique_ids), k)
+
+
+def experts_report_snapshot(snapshot: DataFrame, k: int = experts.TOP_K) -> DataFrame:
+    """The same from a stored snapshot of ``valid_posts_store``."""
+    return _experts_of_store(store_view(snapshot), k)
+
+
+def _experts_of_store(store: DataFrame, k: int) -> DataFrame:
+    counts = experts.answers_per_tag_user_store(store)
     return experts.experts_list(experts.topk_experts(counts, k))
 
 
@@ -50,11 +61,24 @@ def expert_users(posts: DataFrame, k: int = experts.TOP_K) -> DataFrame:
 
 
 def activity_report_experts(
-    posts: DataFrame, users: DataFrame | None = None, slots: int = TIME_SLOTS
+    posts: DataFrame,
+    users: DataFrame | None = None,
+    slots: int = TIME_SLOTS,
+    order_by: Sequence[str] = VERSION,
+    unique_ids: bool = False,
 ) -> DataFrame:
     """(tag, histogram): answers by experts, by default those of ``experts_report``."""
     users = expert_users(posts) if users is None else users
-    wide = activity.activity_of_experts(activity_store(posts), users, slots)
+    wide = activity.activity_of_experts(activity_store(posts, order_by, unique_ids), users, slots)
+    return activity.activity_histogram(wide)
+
+
+def activity_report_snapshot(snapshot: DataFrame, users: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
+    """The same from a stored snapshot of ``valid_posts_activity_store`` and expert ``users`` (user_id).
+
+    ``users`` may come from an expert list file, whose users repeat.
+    """
+    wide = activity.activity_of_experts(activity_view(snapshot), users, slots)
     return activity.activity_histogram(wide)
 
 

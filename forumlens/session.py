@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folders: dict[str, str] = {}
+_made: dict[str, list[str]] = {}
 
 
 def local_session(cpus: int = 8, **settings: str) -> SparkSession:
@@ -49,15 +50,38 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nothing else uses; ``release`` deletes what is there."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _made.setdefault(spark.conf.get("spark.app.id"), []).append(path)
+    return path
+
+
+def release(spark: SparkSession, since: int = 0) -> int:
+    """Delete the tables that this application has kept, and count them.
+
+    Call it when no frame is in use that reads one. ``since`` leaves the first
+    so many, as ``made`` tells them, where they are.
+    """
+    paths = _made.get(spark.conf.get("spark.app.id"), [])
+    gone = paths[since:]
+    for path in gone:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    del paths[since:]
+    return len(gone)
+
+
+def made(spark: SparkSession) -> int:
+    """How many tables this application has kept and not released."""
+    return len(_made.get(spark.conf.get("spark.app.id"), []))
 
 
 def keep(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     This cuts the lineage, outlives lost executors, and gives the optimizer the
-    true size of the data, by which it decides whether to broadcast it.
+    true size of the data, by which it decides whether to broadcast it. The
+    table stays until ``release``.
     """
     spark = df.sparkSession
     path = new_path(spark, name)

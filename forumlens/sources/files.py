@@ -35,11 +35,14 @@ def read_experts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_popularity(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``tag,popularity``; a line whose popularity is no number is dropped."""
+    """Lines ``tag,popularity``; a line whose popularity is no number is dropped.
+
+    Of lines that repeat a tag the greatest popularity counts.
+    """
     rows = read_records(spark, path, ["tag", "popularity"])
-    return rows.select("tag", F.col("popularity").try_cast("double").alias("popularity")).filter(
-        present("tag") & F.col("popularity").isNotNull()
-    )
+    numbers = rows.select("tag", F.col("popularity").try_cast("double").alias("popularity"))
+    known = numbers.filter(present("tag") & F.col("popularity").isNotNull())
+    return known.groupBy("tag").agg(F.max("popularity").alias("popularity"))
 
 
 def read_tag_features(spark: SparkSession, path: str) -> DataFrame:

@@ -111,6 +111,26 @@ def test_lookup_uses_the_partitioning_of_the_snapshot(spark, xl):
     assert text.count("Exchange hashpartitioning") == 5
 
 
+def test_a_stored_snapshot_is_not_computed_again(spark, xl):
+    """Neither is the newest version of posts whose ids are unique searched for."""
+    kept = keep(store.snapshot(xl), "snapshot")
+    for df in (
+        reports.experts_report_snapshot(kept),
+        reports.experts_report_store(xl, unique_ids=True),
+        reports.activity_report_snapshot(kept, keep(spark.range(9).select(F.col("id").alias("user_id")), "users")),
+        reports.activity_report_experts(xl, keep(spark.range(9).select(F.col("id").alias("user_id")), "users"), unique_ids=True),
+    ):
+        text = plan(df)
+        assert "SortAggregate" not in text and "newest" not in text
+
+
+def test_tag_lists_stay_whole_up_to_the_count(spark, xl):
+    """With unique answers one row per question goes through the shuffles before the join."""
+    text = plan(reports.experts_report(xl, unique_ids=True))
+    below_join = text[text.index("SortMergeJoin") :]
+    assert "Generate explode" in text and "Generate explode" not in below_join
+
+
 def shuffles(df):
     """Shuffles that ran, those read a second time not counted again."""
     ran = final_plan(df).split("== Initial Plan ==")[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import answer, as_dict, question
 from forumlens.operators import activity, clusters, experts, joins, response, store, validity
@@ -217,4 +218,22 @@ def test_clusters_report(make_posts):
         rows += [question(n, n + 100, f"<{tag}>"), answer(n + 100)]
     centres = [(1, 0, 0, 0), (1, 1, 0, 10), (2, 0, 0, 3)]
     found = sorted(tuple(r) for r in reports.clusters_report(make_posts(*rows), centres).collect())
-    assert found == [(1, 0, 60.0, 2.25, 4), (2, 0, 60.0, 2.25, 4)]
+    assert found == [(1, 0, 60.0, 2.25, 4, True), (2, 0, 60.0, 2.25, 4, True)]
+
+
+def test_snapshots_are_stored_and_upserted(spark, make_posts, tmp_path):
+    """All columns stay; the columns that tell the newest version can be named."""
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    posts = make_posts(question(1, date="2020-01-02T00:00:00.000"), answer(2), question(3, kind="9"))
+    posts = posts.withColumn("last_edit_date", F.lit("2020-02-01")).withColumn("title", F.lit("first"))
+    order = ("last_edit_date", *store.VERSION)
+    store.write_snapshot(posts, one, order_by=order)
+    stored = store.read_snapshot(spark, one)
+    assert stored.columns == posts.columns and sorted(r.post_id for r in stored.collect()) == [1, 2]
+    edits = make_posts(question(1, tags="<b>"), answer(2, owner="9"), answer(4))
+    edits = edits.withColumn("last_edit_date", F.expr("CASE post_id WHEN '1' THEN '2020-03-01' ELSE '2020-01-01' END"))
+    store.upsert_snapshot(spark, one, edits.withColumn("title", F.lit("second")), two, order_by=order)
+    found = {r.post_id: (r.title, r.tags, r.owner_user_id) for r in store.read_snapshot(spark, two).collect()}
+    assert found == {1: ("second", "<b>", "1"), 2: ("first", "", "7"), 4: ("second", "", "7")}
+    lookups = as_dict(store.store_posts(posts.unionByName(edits.withColumn("title", F.lit("x"))), order), "post_id", "tags")
+    assert lookups[1] == "<b>"

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import answer, question
+from forumlens import session
 from forumlens.operators.clusters import as_centres
 from forumlens.session import keep, new_path, shared_folder
 from forumlens.sources import files
@@ -133,3 +136,18 @@ def test_stored_types_stay_as_they_are(spark, make_posts, tmp_path):
     write_posts(posts, str(tmp_path / "store"))
     back = {r.post_id: r.post_type_id for r in load_posts(spark, str(tmp_path / "store")).collect()}
     assert back == {str(i): kind or None for i, kind in enumerate(kinds)}
+
+
+def test_kept_tables_are_released(spark):
+    before = session.made(spark)
+    table = session.keep(spark.range(3).toDF("n"), "mine")
+    path = table.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert os.path.isdir(path) and session.made(spark) == before + 1
+    assert session.release(spark, before) == 1
+    assert not os.path.isdir(path) and session.made(spark) == before
+
+
+def test_popularity_of_a_repeated_tag(spark, tmp_path):
+    (tmp_path / "p.csv").write_text("a,3\na,7\nb,many\nb,2\n,4\nc\n")
+    found = files.read_popularity(spark, str(tmp_path / "p.csv"))
+    assert sorted(map(tuple, found.collect())) == [("a", 7.0), ("b", 2.0)]

@@ -5,12 +5,13 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from test_simhash import plain_components, plain_fingerprint
 
 import corpus_pipeline as pipeline
 from forumlens.llm import decontaminate, langid
 from forumlens.llm.queries import tokenizer_path
 
+from .test_simhash import plain_components, plain_fingerprint
+
 SF = "/root/testdata/sf0.001"
 
 

@@ -234,6 +234,8 @@ def groups(docs: DataFrame, words: int = 3, blocks: int = BLOCKS) -> DataFrame:
     ends = joined.join(nodes.withColumnRenamed("fp", "node"), "node")
     named = joined.join(ends.groupBy("component").agg(F.min("least").alias("group")), "component").select("node", "group")
     labels = nodes.join(named, F.col("fp") == F.col("node"), "left").select(F.col("fp").alias("fp2"), F.coalesce("group", "least").alias("least"))
+    # A table of its own: both sides of the join then come from a shuffle, and Spark can split a hot fingerprint
+    labels = keep(labels, "simhash-labels")
     return rows.join(labels, F.col("fp") == F.col("fp2")).drop("fp2")
 
 
@@ -262,7 +264,8 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     listed = light.where(~stays | (F.col("_dup_n") > 1)).select(F.col("doc_id").alias("_dup_id"), F.col("version").alias("_dup_version"), stays.alias("_dup_once"))
     listed = keep(listed, "near-duplicates")
     same = F.col("doc_id").eqNullSafe(F.col("_dup_id")) & (F.xxhash64("text") == F.col("_dup_version"))
-    joined = docs.join(listed, same, "left")
+    # The list grows with the documents, so it is never broadcast: the same plan at every size
+    joined = docs.join(listed.hint("merge"), same, "left")
     single = joined.where("_dup_version is null").select(*docs.columns)
     once = joined.where("_dup_once").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
     return single.unionByName(once)

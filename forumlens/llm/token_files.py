@@ -12,14 +12,17 @@ Files of lost task attempts are in no manifest.
 
 from __future__ import annotations
 
+import json
+import re
+import sys
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,24 +32,36 @@ from forumlens.session import new_path
 FORMAT = 1
 #: Ids that follow a document.
 END = 0
-#: Pieces whose ids a worker remembers before it starts over.
-CACHE = 400_000
+#: Pieces whose ids a worker remembers in each of two generations (some 200 bytes each).
+CACHE = 600_000
 #: Bytes of ids gathered before they go to the file.
 BUFFER = 8 << 20
 #: Characters of a batch read back at once, in ids.
 CHUNK = 4 << 20
 
-# Fixed value: how the tokenizer's byte-level step splits a text
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# Fixed value: how a byte-level tokenizer splits a text, here for the letters and
+# numbers of the characters below. Its contractions begin like no word, so words can
+# come first.
+_LETTER, _NUMBER = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾"
+_PIECES = re.compile(
+    rf" ?[{_LETTER}]+|'(?:s|t|re|ve|m|ll|d)| ?[{_NUMBER}]+| ?[^\s{_LETTER}{_NUMBER}]+|\s+(?!\S)|\s+"
+)
 # Texts with other characters, or with a special token's string, are encoded as a whole
-_UNUSUAL = regex.compile(r"[^\t\n\r\x20-\x7e¡-ɏ]|<\|")
+_UNUSUAL = re.compile(r"[^\t\n\r\x20-\x7e¡-ɏ]|<\|")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter of each byte in a byte-level vocabulary: itself if it can be seen, else the next from U+0100 on."""
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in seen]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
 class Encoder:
     """A tokenizer that remembers the ids of pieces it has met.
 
-    Byte-level tokenizers split a text into pieces and encode each by itself, so
-    the pieces' ids joined are the text's ids.
+    Byte-level BPE splits a text into pieces and encodes each by itself, so the
+    pieces' ids joined are the text's ids. Other kinds encode whole texts.
     """
 
     def __init__(self, path: str) -> None:
@@ -55,27 +70,41 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.kind = np.dtype(f"<u{self.width}")
+        self.code = "H" if self.width == 2 else "I"
+        told = json.loads(self.tokenizer.to_str())
+        split = told["pre_tokenizer"] or {}
+        plain = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+        self.by_piece = told["model"]["type"] == "BPE" and not told["normalizer"] and plain.items() <= split.items() and sys.byteorder == "little"
+        self.letters = _byte_letters()
+        # Two generations: pieces that are met again outlive a full memory
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.kind).tobytes()
 
+    def _learn(self, pieces: set[str]) -> None:
+        if len(self.known) > CACHE:
+            self.known, self.older = {}, self.known
+        known, older, tokenize = self.known, self.older, self.tokenizer.model.tokenize
+        for piece in pieces.difference(known):
+            found = older.get(piece)
+            if found is None:
+                # A byte is a character of Latin-1, and that one a letter of the vocabulary
+                tokens = tokenize(piece.encode().decode("latin-1").translate(self.letters))
+                found = array(self.code, [t.id for t in tokens]).tobytes()
+            known[piece] = found
+
     def __call__(self, text: str | None) -> bytes:
         """The ids of a text and END."""
         end = END.to_bytes(self.width, "little")
         if not text:
             return end
-        if _UNUSUAL.search(text):
+        if not self.by_piece or _UNUSUAL.search(text):
             return self._whole(text) + end
         pieces = _PIECES.findall(text)
+        self._learn(set(pieces))
         known = self.known
-        new = [p for p in dict.fromkeys(pieces) if p not in known]
-        if new:
-            if len(known) + len(new) > CACHE:
-                known.clear()
-                new = list(dict.fromkeys(pieces))
-            for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                known[piece] = np.array(found.ids, dtype=self.kind).tobytes()
         return b"".join([known[p] for p in pieces]) + end
 
 

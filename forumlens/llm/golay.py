@@ -46,8 +46,12 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 
 
 def keys(words: np.ndarray) -> np.ndarray:
-    """An array of six keys per 23-bit word; the first is its own, missing ones are -1."""
+    """An array of six keys per 23-bit word; the first is its own, missing ones are -1.
+
+    Higher bits are no part of a word and do not change its keys.
+    """
     single, patterns = _tables()
+    words = words & ((1 << BITS) - 1)
     remainder = np.zeros(words.shape, dtype=np.int64)
     for b in range(BITS):
         remainder ^= np.where(words >> b & 1, single[b], 0)

@@ -77,6 +77,24 @@ def test_fingerprints_within_three_bits_share_a_key(blocks):
     assert {r for r, _ in met[0] & met[1]} == set(range(500))
 
 
+def test_all_patterns_of_three_bits_share_a_key():
+    """Also where a half has a bit more than the code, above exact bits that are 0."""
+    patterns = np.array([(1 << a) | (1 << b) | (1 << c) for a in range(64) for b in range(a) for c in range(b)], dtype=np.uint64)
+    assert len(patterns) == 41_664
+    odd = sum(1 << b for b in range(1, 64, 2))
+    for fp in (0, odd, (1 << 64) - 1, 0xFFFF0000FFFF0000):
+        own = [key[row == 0] for row, key in simhash.keys(np.array([fp], dtype=np.uint64))]
+        met = np.zeros(len(patterns), dtype=bool)
+        for (row, key), mine in zip(simhash.keys(patterns ^ np.uint64(fp)), own, strict=True):
+            met[row[np.isin(key, mine[0])]] = True
+        assert met.all()
+
+
+def test_bits_above_a_word_do_not_change_its_keys():
+    words = np.random.default_rng(2).integers(0, 1 << 23, 1000)
+    assert (golay.keys(words) == golay.keys(words | (1 << 23))).all() and golay.keys(words | (1 << 23)).max() < 4096
+
+
 def fps_frame(spark, fps):
     return spark.createDataFrame([(f - (1 << 64) if f >> 63 else f,) for f in fps], "fp long").distinct()
 

@@ -1,9 +1,10 @@
 """Language identification by compression.
 
 For each language, labelled texts of a bounded sample become a zstandard
-raw-content dictionary. A text is compressed with each of them; the language
-whose dictionary makes it smallest wins. A text is rejected when the best is
-hardly smaller than the second.
+raw-content dictionary. A text is compressed with each of them, in pieces that
+each start with the dictionary afresh, so that languages differ as much in a long
+text as in a short one; the language whose dictionary makes it smallest wins. A
+text is rejected when the best is hardly smaller than the second.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from forumlens.session import keep
 DICTIONARY_BYTES = 64_000
 SAMPLE_ROWS = 1000
 LEVEL = 6
+#: Bytes of a text compressed at once. A dictionary helps little after its own length, so longer pieces differ less.
+PIECE_BYTES = 32_000
 UNKNOWN = "und"
 #: The pipeline rejects a text if the best size is above this share of the second.
 MARGIN = 0.002
@@ -73,7 +76,8 @@ def _judge(dictionaries: dict[str, bytes], margin: float, level: int) -> Callabl
         data = letters(text)
         if not data or not coders:
             return UNKNOWN, 0.0
-        sizes = [len(c.compress(data)) for c in coders]
+        pieces = [data[at : at + PIECE_BYTES] for at in range(0, len(data), PIECE_BYTES)]
+        sizes = [sum(len(c.compress(piece)) for piece in pieces) for c in coders]
         best = min(range(len(sizes)), key=sizes.__getitem__)
         others = sizes[:best] + sizes[best + 1 :]
         if others and margin and sizes[best] > (1 - margin) * min(others):
@@ -90,7 +94,7 @@ def identified(docs: DataFrame, dictionaries: dict[str, bytes], margin: float =
     has no letter, if nothing was learned, or, with a ``margin``, if the best
     size is above ``1 - margin`` times the second. ``score`` is the share by
     which the best size stays below the mean of the others (0 for ``und``). Ties
-    go to the first language by name. Texts are compressed whole.
+    go to the first language by name. All of a text counts, in pieces of ``PIECE_BYTES``.
     """
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 import pytest
@@ -88,6 +89,28 @@ def test_narrow_margins_are_rejected(make_docs, dictionaries):
     assert found == {1: "und", 2: "en"}
 
 
+def test_clean_texts_of_five_megabytes_are_recognised(spark):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    found = langid.fit(given)
+    draw = random.Random(3)
+    rows = []
+    for lang in sorted(found):
+        own = [r.text for r in given.where(F.col("lang") == lang).collect() if r.text and langid.letters(r.text)]
+        own = [t for t in own if langid.letters(t) not in found[lang]]
+        long, size = [], 0
+        while size < 5_000_000:
+            draw.shuffle(own)
+            long += own
+            size += sum(map(len, own))
+        rows.append((len(rows), " ".join(long)[:5_000_000], lang, "s", 5_000_000))
+    docs = spark.createDataFrame(rows, given.select("doc_id", "text", "lang", "source", "n_chars").schema)
+    want = [(r[0], r[2]) for r in rows]
+    assert len(want) > 1
+    for margin in (langid.MARGIN, 0.01):
+        assert sorted((r.doc_id, r.lang_pred) for r in langid.identified(docs, found, margin=margin).collect()) == want
+    assert langid.recognised(docs, found).count() == len(want)
+
+
 def test_a_dictionary_is_bounded(make_docs):
     rows = [(i, "word " * 200 + str(i), "en", "s") for i in range(50)] + [(99, "long " * 100_000, "de", "s"), (98, "kurz", "de", "s")]
     found = langid.fit(make_docs(*rows), size=5000)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import as_dict
-from forumlens.operators import activity, experts, response, store
+from conftest import answer, as_dict, question
+from forumlens.operators import activity, experts, joins, response, store
 from forumlens.plans import reports
 
 COPIES = 60000
@@ -64,6 +67,58 @@ def test_mean_minutes(hot):
     assert found == {"hot": 420, "a": (420 * COPIES * COPIES) // (COPIES * COPIES + COPIES // 2)}
 
 
+def test_mean_minutes_of_many_dates(spark):
+    """COPIES dates of question 1 and as many of its answer 2; listing the pairs would take 3.6 billion rows."""
+    first = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    n = F.col("id")
+
+    def dated(kind, millis):
+        date = F.date_format(first + F.make_dt_interval(secs=(millis / 1000).cast("decimal(18,6)")), "yyyy-MM-dd'T'HH:mm:ss.SSS")
+        question = kind == "1"
+        return spark.range(COPIES).select(
+            F.lit(kind).alias("post_id"),
+            F.lit(kind).alias("post_type_id"),
+            F.lit("2" if question else "").alias("accepted_answer_id"),
+            date.alias("creation_date"),
+            F.lit("9").alias("owner_user_id"),
+            F.when(n % 2 == 0, "<a><b>").otherwise("<a>").alias("tags") if question else F.lit("").alias("tags"),
+            F.lit("" if question else "1").alias("parent_id"),
+        )
+
+    asked, given = np.arange(COPIES) * 7001, np.arange(COPIES) * 6007 + 30_000
+    posts = dated("1", n * 7001).unionByName(dated("2", n * 6007 + 30_000))
+
+    def mean(some):
+        total = 0
+        for at in some.tolist():
+            apart = given - at
+            total += int((np.sign(apart) * (np.abs(apart) // 60_000)).sum())
+        return int(total / (len(some) * COPIES))
+
+    found = as_dict(response.avg_minutes_per_tag(posts), "tag", "avg_minutes")
+    assert found == {"a": mean(asked), "b": mean(asked[::2])}
+
+
+def test_mean_minutes_matches_all_pairs(make_posts):
+    """Dates around each other, equal rests, copies, unreadable ones, several tag lists and ids without a partner."""
+    draw = random.Random(11)
+
+    def date():
+        if draw.random() < 0.1:
+            return draw.choice(["", "yesterday", "2020-13-01T00:00:00.000"])
+        day, hour, minute = draw.randint(1, 3), draw.randint(0, 23), draw.randint(0, 59)
+        return f"20{draw.choice([19, 20])}-01-0{day}T{hour:02}:{minute:02}:{draw.choice([0, 0, 7, 59]):02}.{draw.choice([0, 0, 1, 999]):03}"
+
+    rows = [question(i, draw.randint(1, 6), draw.choice(["<a>", "<b>", "<a><b>", "<a><a>"]), date()) for i in range(150)]
+    rows += [answer(draw.randint(3, 9), date=date()) for _ in range(150)]
+    rows += rows[:20] + rows[-20:]
+    posts = make_posts(*rows)
+    for bad in (None, -1):
+        pairs = response.mean_minutes(joins.join_accepted(posts, bad))
+        want = as_dict(pairs, "tag", "avg_minutes")
+        assert len(want) == 2 and as_dict(response.avg_minutes_per_tag(posts, bad), "tag", "avg_minutes") == want
+
+
 def test_snapshot(hot):
     newest = store.store_posts(hot)
     assert newest.count() == COPIES + 2

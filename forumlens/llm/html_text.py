@@ -3,7 +3,8 @@
 Pages of a host with the same folded stream have one shape. Shapes are counted and
 combined where the pages are read, so a host of many pages sends a few rows; its
 wrapper is inferred from them in two steps, first over parts of the shapes, then
-over the parts' wrappers. Extraction aligns each page with its host's wrapper.
+over the parts' wrappers. Extraction aligns each page with its host's wrapper, which
+tells the template's text; what is main text otherwise is judged by the page itself.
 """
 
 from __future__ import annotations
@@ -36,6 +37,9 @@ def _shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def rows() -> pa.RecordBatch:
         keys = list(gathered)
+        for nodes, pages in gathered.values():
+            for slot in wr.slots(nodes):
+                slot.seen = pages
         return pa.RecordBatch.from_pydict(
             {
                 "host": [k[0] for k in keys],
@@ -94,23 +98,31 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flags(page: wr.Page, nodes: list[wr.Node], wrapper: str | None, count: int | None) -> list[bool]:
         """Per text of the page whether it is content."""
-        placed = wr.levels(nodes)
-        own = wr.content_slots(nodes, 1)
+        level = [0] * len(page.texts)
+        for slot, where in wr.levels(nodes):
+            for p in slot.places:
+                level[p] = where
+        best = max(level)
         if wrapper:
             if wrapper not in loaded:
-                loaded[wrapper] = wr.content_slots(wr.load(wrapper), count or 1)
+                loaded[wrapper] = wr.template_slots(wr.load(wrapper), count or 1)
                 if len(loaded) > REMEMBERED:
                     loaded.popitem(last=False)
-            pairs = wr.flags_of(nodes, wr.load(wrapper), loaded[wrapper], own)
+            pairs = wr.flags_of(nodes, wr.load(wrapper), loaded[wrapper], [False] * len(wr.slots(nodes)))
         else:
-            pairs = [(slot, take) for (slot, _), take in zip(placed, own, strict=True)]
+            pairs = [(slot, False) for slot in wr.slots(nodes)]
+        main = [best > 0 and where == best for where in level]
+        template = {p for slot, constant in pairs if constant for p in slot.places}
+        # A page of constant text alone keeps it
+        own = [take and p not in template for p, take in enumerate(main)]
+        taken = own if any(own) else main
         # Outside any content element, text that is mostly links is a menu
-        body = max((x for _, x in placed), default=0) == 1
+        body = best == 1
         result = [False] * len(page.texts)
-        for slot, take in pairs:
+        for slot, _ in pairs:
             links = sum(page.linked[p] for p in slot.places) > 0.5 * sum(len(page.texts[p]) for p in slot.places)
             for p in slot.places:
-                result[p] = take and not (body and links)
+                result[p] = taken[p] and not (body and links)
         return result
 
     for batch in batches:

@@ -18,8 +18,10 @@ from html import unescape
 
 #: The longest run of tokens looked for as the body of a repeated group.
 LONGEST_GROUP = 24
-#: From so many pages on, text that is the same on all of them belongs to the template.
+#: From so many pages on, text that is the same on all of them belongs to the template; inside content elements
+#: the pages must be at least this share of the host's, as copies of one page have equal text too.
 TEMPLATE_PAGES = 3
+TEMPLATE_SHARE = 0.5
 
 # Elements by their role in HTML
 INLINE = frozenset(
@@ -129,14 +131,14 @@ class Node:
     """A part of an expression: a tag, a slot, or a group of nodes that repeats or may be missing.
 
     A slot has the places of its texts in the page, or the hash of its text if it is
-    the same everywhere (else None).
+    the same everywhere (else None), and ``seen``, the number of pages known to have it.
     """
 
-    __slots__ = ("key", "kind", "nodes", "optional", "places", "same")
+    __slots__ = ("key", "kind", "nodes", "optional", "places", "same", "seen")
 
     def __init__(self, kind: str, key: str, nodes: list[Node] | None = None, places: list[int] | None = None, same: int | None = None) -> None:
         self.kind, self.key, self.nodes = kind, key, nodes or []
-        self.places, self.same, self.optional = places or [], same, False
+        self.places, self.same, self.optional, self.seen = places or [], same, False, 1
 
 
 def _group(kind: str, nodes: list[Node]) -> Node:
@@ -154,12 +156,13 @@ def slots(nodes: list[Node]) -> list[Node]:
     return found
 
 
-def _join(a: Node, b: Node) -> Node:
+def _join(a: Node, b: Node, other_pages: bool = False) -> Node:
     """One node for two with equal keys: different strings become an open slot."""
     for x, y in zip(slots([a]), slots([b]), strict=True):
         x.places = x.places + y.places
         if x.same != y.same:
             x.same = None
+        x.seen = x.seen + y.seen if other_pages else max(x.seen, y.seen)
     a.optional = a.optional or b.optional
     return a
 
@@ -261,7 +264,7 @@ def merge(a: list[Node], b: list[Node]) -> list[Node]:
     out = []
     for kind, a0, a1, b0, b1 in steps:
         if kind == "equal":
-            out += [_join(x, y) for x, y in zip(a[a0:a1], b[b0:b1], strict=True)]
+            out += [_join(x, y, True) for x, y in zip(a[a0:a1], b[b0:b1], strict=True)]
         else:
             for n in [*a[a0:a1], *b[b0:b1]]:
                 n.optional = True
@@ -287,7 +290,8 @@ def levels(nodes: list[Node]) -> list[tuple[Node, int]]:
 
     0 is boilerplate by tag or name of an element around it (headers only outside
     articles and main elements), 1 the body, 2 an element named as content, 3 the
-    main element, 4 an article.
+    main element, 4 an article. The names of html, body and of the outermost main
+    elements and articles tell of the page, not of boilerplate.
     """
     found: list[tuple[Node, int]] = []
     stack: list[tuple[str, frozenset[str]]] = []
@@ -295,9 +299,10 @@ def levels(nodes: list[Node]) -> list[tuple[Node, int]]:
     def level() -> int:
         best = 1
         for name, words in stack:
-            if name in BOILERPLATE_TAGS or words & BOILERPLATE_WORDS:
+            outer = name in ("html", "body") or (best < 3 and name in ("main", "article"))
+            if name in BOILERPLATE_TAGS or (words & BOILERPLATE_WORDS and not outer):
                 return 0
-            if best < 3 and (name == "header" or "header" in words):
+            if best < 3 and (name == "header" or ("header" in words and not outer)):
                 return 0
             if name == "article" or "articlebody" in words:
                 best = 4
@@ -328,23 +333,20 @@ def levels(nodes: list[Node]) -> list[tuple[Node, int]]:
     return found
 
 
-def content_slots(nodes: list[Node], pages: int) -> list[bool]:
-    """Per slot whether it is main text.
+def template_slots(nodes: list[Node], pages: int) -> list[bool]:
+    """Per slot of a wrapper of ``pages`` pages whether its text is the template's: the same on all pages that have it."""
 
-    Text at the highest level that occurs counts. If that is the body, text that is
-    the same on all pages, TEMPLATE_PAGES at least, is the template's.
-    """
-    found = levels(nodes)
-    best = max((x for _, x in found), default=0)
-    template = best == 1 and pages >= TEMPLATE_PAGES
-    return [best > 0 and x == best and not (template and n.same is not None) for n, x in found]
+    def least(level: int) -> float:
+        return TEMPLATE_PAGES if level < 2 else max(TEMPLATE_PAGES, TEMPLATE_SHARE * pages)
+
+    return [n.same is not None and n.seen >= least(level) for n, level in levels(nodes)]
 
 
 def dump(nodes: list[Node]) -> str:
     """An expression as text."""
 
     def plain(n: Node) -> list:
-        return [n.kind, int(n.optional), n.same if n.kind == "#" else n.key if n.kind == "t" else [plain(x) for x in n.nodes]]
+        return [n.kind, int(n.optional), [n.same, n.seen] if n.kind == "#" else n.key if n.kind == "t" else [plain(x) for x in n.nodes]]
 
     return json.dumps([plain(n) for n in nodes], separators=(",", ":"), ensure_ascii=False)
 
@@ -353,7 +355,8 @@ def load(text: str) -> list[Node]:
     def build(x: list) -> Node:
         kind, optional, rest = x
         if kind == "#":
-            node = Node("#", "#", same=rest)
+            node = Node("#", "#", same=rest[0])
+            node.seen = rest[1]
         elif kind == "t":
             node = Node("t", rest)
         else:

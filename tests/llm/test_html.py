@@ -72,6 +72,42 @@ def test_text_without_content_elements(spark):
     assert found == {i: f"Story number {'abc'[i]}." for i in range(3)}
 
 
+def test_hosts_of_mixed_layouts(spark):
+    """Each page is judged by its own best level; the wrapper only takes away constant text."""
+    layouts = {
+        "article": ("<body><article><p>Story {0}</p></article></body>", "Story {0}"),
+        "main": ("<body><main><ul><li>first {0}</li><li>second {0}</li></ul></main></body>", "first {0}\nsecond {0}"),
+        "named": ("<body><div class=content><h2>Head {0}</h2></div></body>", "Head {0}"),
+        "body": ("<body><div><p>Plain {0}</p><hr></div></body>", "Plain {0}"),
+    }
+    rows, want = [], {}
+    for k, url in enumerate(("http://mixed.example/", "no host")):
+        for j, (html_, text) in enumerate(layouts.values()):
+            for i in range(3 if j else 1):
+                n = 100 * k + 10 * j + i
+                rows.append((n, url, html_.format(n)))
+                want[n] = text.format(n)
+    assert extracted(spark, *rows) == want
+
+
+def test_names_of_the_outermost_elements_are_no_boilerplate(spark):
+    page = "<html class='no-js cookies'><body class='has-sidebar header'><main class='widget'><p>Text {0}</p><article class=related><p>Other {0}</p></article></main></body></html>"
+    assert extracted(spark, *[(i, "http://n.example/", page.format(i)) for i in range(3)]) == {i: f"Text {i}" for i in range(3)}
+    page = "<body class=newsletter><article class=sponsored><p>Paid {0}</p></article></body>"
+    assert extracted(spark, *[(i, "http://s.example/", page.format(i)) for i in range(3)]) == {i: f"Paid {i}" for i in range(3)}
+
+
+def test_constant_text_goes_at_every_level_but_leaves_no_page_empty(spark):
+    page = "<body><article><h1>Title {0}</h1><p>Text {0}</p><h3>Read this every day</h3></article></body>"
+    rows = [(i, "http://e.example/", page.format(i)) for i in range(4)]
+    assert extracted(spark, *rows) == {i: f"Title {i}\nText {i}" for i in range(4)}
+    copies = [(i, "http://f.example/", page.format(0)) for i in range(4)]
+    assert extracted(spark, *copies) == {i: "Title 0\nText 0\nRead this every day" for i in range(4)}
+    # Text of one page alone is its own
+    single = [*[(i, "http://g.example/", f"<body><p>Plain {i}</p></body>") for i in range(3)], (9, "http://g.example/", "<body><p>Plain 9</p><h2>Once</h2></body>")]
+    assert extracted(spark, *single)[9] == "Plain 9\nOnce"
+
+
 def test_given_pages(spark, sample):
     pages = spark.read.parquet(f"{sample}/pages.parquet")
     found = {r.page_id: r.text for r in html_text.extract(pages).collect()}

@@ -4,20 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forumlens.llm import decontaminate, html_text, langid, line_rules, line_templates, mixing, quality, simhash, token_files, warc
-from forumlens.llm.common import BLANK, WORD, id_remainder, ship, table
+from forumlens.llm import bpe_replay, decontaminate, hard_negatives, html_text, langid, line_rules, line_templates, mixing
+from forumlens.llm import periodic_runs, quality, simhash, token_files, warc
+from forumlens.llm.common import BLANK, WORD, id_remainder, let, ship, table, words
 from forumlens.session import new_path
 
 TOKENIZER = "byte_bpe_50k.json"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = TOKENIZER) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path(TOKENIZER)
+    return public_tokenizers.path(name)
 
 
 def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +85,59 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+def op11_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = (tokenizer_path(RANKS), public_tokenizers.PATTERN)
+    encoded = bpe_replay.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary)
+    return bpe_replay.decode(encoded, *vocabulary).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def _with_periods(text: Column, doc_id: Column) -> Column:
+    """The text, which in every tenth document turns periodic from some word on."""
+    hashed = F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary"))
+    draw = F.floor(hashed / 10)
+
+    def repeated(w: Column) -> Column:
+        n = F.size(w)
+        first = (draw % n).cast("int")
+        period = (1 + F.floor((n - first) / (3 + draw % 8))).cast("int")
+        at = lambda i: w[F.when(i < first, i).otherwise(first + (i - first) % period)]
+        return F.when(n > 0, F.concat_ws(" ", F.transform(F.sequence(F.lit(0), n - 1), at))).otherwise(text)
+
+    return F.when(hashed % 10 == 0, let(words(text), repeated)).otherwise(text)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", _with_periods(F.col("text"), F.col("doc_id")).alias("text"))
+    # Of equally long runs the one with the smallest start, then period
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r.length, -r.start, -r.period)))
+    line = lambda r: F.concat(r.start.cast("string"), F.lit(","), r.length.cast("string"), F.lit(","), r.period.cast("string"), F.lit("\n"))
+    found = periodic_runs.with_runs(docs).withColumn("longest", longest)
+    length, start, period = (F.col("longest")[c] for c in ("length", "col2", "col3"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-start).alias("start"),
+        length.alias("length"),
+        (-period).alias("period"),
+        F.floor(1000 * length / -period).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", moved.alias("label"))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 def _ready(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship(spark)
@@ -105,6 +160,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_rules,
         op9_line_dedup,
         op10_mixing,
+        op11_bpe,
+        op12_periodic_runs,
+        op13_hard_negatives,
     )
     return {f.__name__: _ready(f) for f in own} | {"pipeline": corpus_pipeline.run}
 
@@ -185,6 +243,23 @@ taken AS (SELECT doc_id, size, source_size, target, sure + CASE WHEN running - s
 SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken FROM taken"""
 
 
+def _negatives_sql() -> str:
+    """The scores of all anchors with all rows."""
+    scale = hard_negatives.SCALE
+    return f"""
+WITH r AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({scale} * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+  FROM r a JOIN r ON a.id <> r.id WHERE a.id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INT) AS rank, id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER best <= 5"""
+
+
 def oracle_sql() -> dict[str, str]:
     """For the operators that SQL can express; the others are tested against brute force."""
     return {
@@ -197,4 +272,5 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest
   CASE WHEN n >= {warc.MIN_REVISIT_BYTES} AND page_id <> newest THEN newest END AS refers_to FROM k""",
         "op8_quality_rules": _base_sql(),
         "op10_mixing": _mix_sql(),
+        "op13_hard_negatives": _negatives_sql(),
     }

@@ -1,0 +1,114 @@
+"""Replayed merges against the tiktoken library, and the way back."""
+
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+
+import __spark_entry__ as entry
+from forumlens.llm import bpe_replay
+from forumlens.llm.queries import RANKS, tokenizer_path
+
+PATTERN = public_tokenizers.PATTERN
+VOCABULARY = (tokenizer_path(RANKS), PATTERN)
+
+
+def library(path: str) -> tiktoken.Encoding:
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+@pytest.fixture(scope="module")
+def wanted():
+    return library(VOCABULARY[0])
+
+
+def ids(data: bytes) -> list[int]:
+    return np.frombuffer(data, "<u4").tolist()
+
+
+ODD = [
+    None,
+    "",
+    " ",
+    "\n\n \t x",
+    "<|endoftext|> it's we'll 'S \x1c\x1d\x85\xa0  ­x",
+    "Ǆ ʰ ɏ ¼ ² ٣ 漢字 \U0001f600\U0001f468‍\U0001f469 é",
+    "a" * 30_000,
+    "ab" * 5_000 + "a",
+    "!" * 999 + "?" * 1001,
+    "word " * 3_000,
+]
+
+
+def test_odd_texts(make_docs, wanted):
+    docs = make_docs(*enumerate(ODD + ODD))
+    found = {r.doc_id: (ids(r.ids), bytes(r.decoded)) for r in bpe_replay.decode(bpe_replay.encode(docs, *VOCABULARY), *VOCABULARY).collect()}
+    for i, text in enumerate(ODD + ODD):
+        assert found[i][0] == wanted.encode_ordinary(text or "")
+        assert found[i][1] == (text or "").encode()
+
+
+def test_both_patterns_split_alike():
+    table = bpe_replay.merges(*VOCABULARY)
+    rng = random.Random(3)
+    letters = [chr(c) for c in range(1, bpe_replay._LATIN)] + list(" \n\t' 'slemrvtd0123")
+    split_by_library = 0
+    for _ in range(3_000):
+        text = "".join(rng.choices(letters, k=rng.randint(0, 30)))
+        assert list(table.pieces(text)) == table.split.findall(text)
+        split_by_library += not table.other.search(text)
+    assert split_by_library > 100
+
+
+def test_vocabularies_whose_ranks_are_in_no_order(tmp_path):
+    """A merge may give a pair of lower rank, and a token's bytes may be split in many ways."""
+    rng = random.Random(5)
+    for number in range(40):
+        tokens = {bytes([b]) for b in range(256)}
+        while len(tokens) < 256 + 25:
+            tokens.add(bytes(rng.choices(b"abc", k=rng.randint(2, 6))))
+        longer = [t for t in tokens if len(t) > 1]
+        rng.shuffle(longer)
+        order = [bytes([b]) for b in range(256)] + longer
+        path = tmp_path / f"{number}.tiktoken"
+        path.write_bytes(b"\n".join(base64.b64encode(t) + b" %d" % i for i, t in enumerate(order)))
+        own, other = bpe_replay.Merges(str(path), PATTERN), library(str(path))
+        words = ["".join(rng.choices("abc", k=rng.randint(1, 30))) for _ in range(60)]
+        assert [ids(x) for x in own.ids_of(words)] == [other.encode_ordinary(w) for w in words]
+
+
+def test_small_chunks_and_memory_change_nothing(monkeypatch, wanted):
+    monkeypatch.setattr(bpe_replay, "CACHE", 3)
+    table = bpe_replay.Merges(*VOCABULARY)
+    rng = random.Random(7)
+    for _ in range(50):
+        words = list({"".join(rng.choices("abcdeé ", k=9)) for _ in range(5)} | {"unfathomable", "zxqv"})
+        assert [ids(x) for x in table.ids_of(words)] == [wanted._core_bpe.encode_single_piece(w.encode()) for w in words]
+
+
+def test_other_columns_pass(spark):
+    docs = spark.createDataFrame([(1, "one", None, b"x"), (1, "one", None, b"x")], "doc_id long, text string, IDS string, decoded binary")
+    found = bpe_replay.encode(docs.withColumnRenamed("IDS", "ids"), *VOCABULARY)
+    assert found.columns == ["doc_id", "decoded", "ids"]
+    assert bpe_replay.decode(found, *VOCABULARY).columns == ["doc_id", "ids", "decoded"]
+    assert bpe_replay.encode(docs.select("text"), *VOCABULARY).count() == 2
+    assert bpe_replay.encode(docs.limit(0), *VOCABULARY).collect() == []
+
+
+def test_query(spark, sample, wanted):
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sample}/documents.parquet").collect()}
+    rows = entry.queries()["op11_bpe"](spark, sample).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        expected = np.array(wanted.encode_ordinary(texts[r.doc_id] or ""), dtype="<u4").tobytes()
+        assert r.n_tokens == len(expected) // 4
+        assert r.ids_sha256 == hashlib.sha256(expected).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256((texts[r.doc_id] or "").encode()).hexdigest()

@@ -1,0 +1,109 @@
+"""Hard negatives against all scores."""
+
+from __future__ import annotations
+
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from forumlens.llm import hard_negatives as H
+
+ROW = "vec_id long, embedding array<float>, label int"
+
+
+def brute(rows: list[tuple], positives: int = 5, negatives: int = 5, low: int = 80) -> list[tuple]:
+    whole = {
+        (i, label, tuple(math.floor(H.SCALE * float(np.float32(x))) for x in vec))
+        for i, vec, label in rows
+        if i is not None and vec is not None and label is not None and all(x is not None and math.isfinite(x) for x in vec)
+    }
+    dot = lambda a, b: sum(x * y for x, y in zip(a, b))
+    out = []
+    for i, label, vec in whole:
+        if i % 10:
+            continue
+        scores = sorted((-dot(vec, v), j, kind) for j, kind, v in whole)
+        same = [(s, j) for s, j, kind in scores if kind == label and j != i][:positives]
+        for ps, p in same:
+            fits = [(s, j) for s, j, kind in scores if kind != label and low * -ps <= 100 * -s <= 100 * -ps][:negatives]
+            out += [(i, p, rank, j, -ps, -s) for rank, (s, j) in enumerate(fits, 1)]
+    return sorted(out)
+
+
+def mined(spark, rows: list[tuple], **options) -> list[tuple]:
+    frame = spark.createDataFrame(rows, ROW)
+    found = H.hard_negatives(frame, F.col("vec_id") % 10 == 0, **options)
+    assert found.columns == ["anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score"]
+    return sorted(tuple(r) for r in found.collect())
+
+
+def _vectors(rng: random.Random, n: int, dims: int = 6) -> list[tuple]:
+    centres = [[rng.gauss(0, 1) for _ in range(dims)] for _ in range(4)]
+    rows = []
+    for i in range(n):
+        c = rng.choice(centres)
+        size = rng.choice([0.1, 1, 1, 3])
+        rows.append((i, [size * (x + rng.gauss(0, 0.4)) for x in c], rng.randrange(3)))
+    return rows
+
+
+@pytest.mark.parametrize("least_rows", [1024, 16])
+def test_against_all_scores(spark, monkeypatch, least_rows):
+    monkeypatch.setattr(H, "ROWS", (least_rows, 1 << 17))
+    rng = random.Random(13)
+    rows = _vectors(rng, 400)
+    # One vector is very common, some rows miss something, some are zero
+    rows += [(400 + i, rows[3][1], rows[3][2] if i % 3 else 1) for i in range(150)]
+    rows += [(600, None, 1), (610, [1.0, None, 0.0, 0.0, 0.0, 0.0], 1), (620, [float("nan")] * 6, 1), (630, [float("inf")] + [0.0] * 5, 1)]
+    rows += [(640, [1.0] * 6, None), (None, [1.0] * 6, 1), (650, [0.0] * 6, 1), (651, [0.0] * 6, 2), (660, [-0.001] * 6, 0)]
+    wanted = brute(rows)
+    assert len(wanted) > 300
+    assert mined(spark, rows) == wanted
+
+
+def test_other_numbers(spark):
+    rows = _vectors(random.Random(2), 120)
+    assert mined(spark, rows, positives=2, negatives=3, low=50) == brute(rows, 2, 3, 50)
+
+
+def test_repeated_rows_count_once_and_vectors_may_differ_in_length(spark):
+    rows = [(0, [1.0, 0.0], 0), (0, [1.0, 0.0], 0), (1, [1.0, 1.0], 0), (1, [1.0, 1.0], 0), (2, [0.9], 1), (2, [0.9], 1), (3, [], 1), (4, [1.0, 0.0], 1)]
+    # Row 2 counts as (0.9, 0)
+    assert mined(spark, rows) == [(0, 1, 1, 4, 65536, 65536), (0, 1, 2, 2, 65536, 58880)]
+    assert mined(spark, [(0, [], 0), (1, [], 0), (2, [], 1)]) == [(0, 1, 1, 2, 0, 0)]
+
+
+def test_nothing_to_mine(spark):
+    assert mined(spark, []) == []
+    assert mined(spark, [(0, [1.0], 0)]) == []
+    assert mined(spark, [(0, [1.0], 0), (1, [1.0], 0)]) == []
+    # Negative scores have no share below them
+    assert mined(spark, [(0, [1.0], 0), (1, [-1.0], 0), (2, [-1.1], 1)]) == []
+
+
+def test_huge_components_take_no_part(spark):
+    rows = [(0, [1e30], 0), (1, [3e5], 0), (10, [1e5], 0), (11, [1e5], 0), (12, [9e4], 1)]
+    assert mined(spark, rows) == [(10, 11, 1, 12, 25_600_000**2, 25_600_000 * 23_040_000)]
+
+
+def test_other_columns_are_not_looked_at(spark):
+    rows = spark.createDataFrame([(0, [1.0], 0), (1, [1.0], 0), (2, [1.0], 1)], ROW)
+    wide = rows.select("*", *[F.lit("x").alias(c) for c in ("id", "anchor", "vec", "square", "length_class", "bucket", "key", "theta")])
+    assert H.hard_negatives(wide, F.col("vec_id") == 0).count() == 1
+
+
+def test_lists_prune_and_lose_nothing():
+    rng = np.random.default_rng(4)
+    vectors = rng.integers(-100, 100, (3_000, 8))
+    bucket = H.Bucket(np.arange(3_000), np.zeros(3_000, dtype=int), vectors)
+    looked_at = 0
+    for anchor in vectors[:100]:
+        scores = vectors @ anchor
+        theta = float(np.sort(scores)[-5])
+        rows = bucket.candidates(anchor, theta)
+        looked_at += len(rows)
+        assert set(np.flatnonzero(scores >= theta)) <= set(rows.tolist())
+    assert looked_at < 100 * 3_000 / 4

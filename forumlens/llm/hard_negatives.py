@@ -63,7 +63,7 @@ def _prepared(rows: DataFrame, is_anchor: Column, row_id: str, vector: str, labe
         F.coalesce(is_anchor, F.lit(False)).alias("anchor"),
     )
     small = taken.where(F.forall("vec", lambda x: x.between(-LARGEST, LARGEST)))
-    square = F.aggregate("vec", F.lit(0).cast("long"), lambda total, x: total + x * x)
+    square = F.aggregate("vec", F.lit(0).cast("long"), lambda total, x: total + x.cast("long") * x)
     return (
         small.withColumn("vec", F.col("vec").cast("array<int>"))
         .withColumn("square", square)

@@ -1,6 +1,7 @@
 """How long a tag waits for an accepted answer.
 
-The mean lists no pairs of posts. Let a question have the whole minute ``A`` and
+An id with one question, or with one answer, is joined plainly. For the others the mean
+lists no pairs of posts. Let a question have the whole minute ``A`` and
 the rest ``ra``, an answer ``B`` and ``rb``. Their minutes, truncated toward zero,
 are ``B - A``, less one if ``rb < ra``, and one more if the answer is earlier and
 ``rb <> ra``. Summed over all answers of a question that is
@@ -17,8 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forumlens.functions import parse_date
+from forumlens.functions import minutes_between, parse_date
 from forumlens.operators.validity import answers, explode_tags, questions, valid_posts_accepted
+from forumlens.session import keep
 
 
 def mean_minutes(joined: DataFrame) -> DataFrame:
@@ -54,33 +56,65 @@ def _big(number: str) -> Column:
     return F.col(number).cast("decimal(19,0)")
 
 
-def avg_minutes_per_tag(posts: DataFrame, on_bad_date: int | None = None) -> DataFrame:
+def many_by_many(asked: DataFrame, given: DataFrame) -> DataFrame | None:
+    """(answer_id) of the ids with two rows or more on both sides, as a table; None if there are none.
+
+    Most posts have no such id, and then only the questions are looked at.
+    """
+    often = keep(_repeated(asked), "asked-often")
+    if often.isEmpty():
+        return None
+    both = keep(_repeated(given.join(often, "answer_id", "left_semi")), "many")
+    return None if both.isEmpty() else both
+
+
+def _repeated(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("answer_id").agg(F.count("*").alias("rows")).where("rows > 1").select("answer_id")
+
+
+def avg_minutes_per_tag(posts: DataFrame, on_bad_date: int | None = None, unique_ids: bool = False) -> DataFrame:
     """Mean minutes from question to accepted answer per tag.
 
-    Posts of one id and date are counted first and go on as one row. An id with
-    ``n`` dates as question and ``m`` as answer costs ``n + m`` rows, not their
-    product. ``on_bad_date=-1`` lets unreadable dates enter the mean as minus one
-    minute; by default they are left out.
+    An id with one question or one answer takes a plain join, which has no more rows than
+    the posts. Only ids with several of both are counted by date and go through sums and
+    ranks: with ``n`` dates as question and ``m`` as answer they cost ``n + m`` rows, not
+    their product. ``unique_ids`` saves the search for such ids; it is for posts whose ids
+    are known to be unique. ``on_bad_date=-1`` lets unreadable dates enter the mean as
+    minus one minute; by default they are left out.
     """
     valid = valid_posts_accepted(posts)
-    created = parse_date("creation_date")
+    created = parse_date("creation_date").alias("date")
+    asked = questions(valid).select(F.col("accepted_answer_id").alias("answer_id"), "tags", created)
+    given = answers(valid).select(F.col("post_id").alias("answer_id"), created)
+    many = None if unique_ids else many_by_many(asked.select("answer_id"), given.select("answer_id"))
+    few = asked if many is None else asked.join(many, "answer_id", "left_anti")
+    # Both sides grow with the posts, so neither is broadcast
+    met = few.join(given.withColumnRenamed("date", "answered").hint("merge"), "answer_id")
+    pairs = met.select("tags", minutes_between("date", "answered", on_bad_date).alias("total"), F.lit(1).cast("bigint").alias("pairs"))
+    pairs = pairs.where("total IS NOT NULL")
+    if many is None:
+        return _divided(pairs)
+    ranked = _many_sums(asked.join(many, "answer_id", "left_semi"), given.join(many, "answer_id", "left_semi"), on_bad_date)
+    return _divided(ranked.unionByName(pairs.select("tags", *[F.col(c).cast("decimal(38,0)").alias(c) for c in ("total", "pairs")])))
+
+
+def _many_sums(asked: DataFrame, given: DataFrame, on_bad_date: int | None) -> DataFrame:
+    """(tags, total, pairs) of questions (answer_id, tags, date) and answers (answer_id, date) of any number."""
     none = F.lit(0).cast("bigint")
     asked = (
-        questions(valid)
-        .groupBy(F.col("accepted_answer_id").alias("answer_id"), "tags", created.alias("date"))
+        asked.groupBy("answer_id", "tags", "date")
         .agg(F.count("*").alias("questions"))
         .select("answer_id", "tags", "date", "questions", none.alias("answers"))
     )
     given = (
-        answers(valid)
-        .groupBy(F.col("post_id").alias("answer_id"), created.alias("date"))
+        given.groupBy("answer_id", "date")
         .agg(F.count("*").alias("answers"))
         .select("answer_id", F.lit(None).cast("string").alias("tags"), "date", none.alias("questions"), "answers")
     )
     both = asked.unionByName(given)
     if on_bad_date is None:
         both = both.filter(F.col("date").isNotNull())
-    return _divided(_sums(both.withColumn("at", _millis("date")), on_bad_date))
+    return _sums(both.withColumn("at", _millis("date")), on_bad_date)
 
 
 def _sums(both: DataFrame, on_bad_date: int | None) -> DataFrame:

@@ -1,8 +1,9 @@
 """The five reports over a frame of posts.
 
 Posts are text columns as ``read_posts`` or ``load_posts`` give them. Each
-report is one lazy plan, except that the experts and the points to cluster are
-written to the shared folder first, because more than one job reads them.
+report is one lazy plan, except that the experts, the points to cluster and the ids
+with several questions and answers are written to the shared folder first, because
+more than one job reads them.
 """
 
 from __future__ import annotations
@@ -54,9 +55,9 @@ def activity_report(
     return activity.activity_histogram(activity.activity_of_all(posts, slots, unique_ids))
 
 
-def expert_users(posts: DataFrame, k: int = experts.TOP_K) -> DataFrame:
+def expert_users(posts: DataFrame, k: int = experts.TOP_K, unique_ids: bool = False) -> DataFrame:
     """The users who are an expert of any tag, as a table in the shared folder."""
-    ranked = experts.topk_experts(experts.answers_per_tag_user(posts), k)
+    ranked = experts.topk_experts(experts.answers_per_tag_user(posts, unique_ids), k)
     return keep(ranked.select("user_id").distinct(), "experts")
 
 
@@ -68,7 +69,7 @@ def activity_report_experts(
     unique_ids: bool = False,
 ) -> DataFrame:
     """(tag, histogram): answers by experts, by default those of ``experts_report``."""
-    users = expert_users(posts) if users is None else users
+    users = expert_users(posts, unique_ids=unique_ids) if users is None else users
     wide = activity.activity_of_experts(activity_store(posts, order_by, unique_ids), users, slots)
     return activity.activity_histogram(wide)
 
@@ -82,18 +83,19 @@ def activity_report_snapshot(snapshot: DataFrame, users: DataFrame, slots: int =
     return activity.activity_histogram(wide)
 
 
-def features(posts: DataFrame, popularity: DataFrame | None = None) -> DataFrame:
+def features(posts: DataFrame, popularity: DataFrame | None = None, unique_ids: bool = False) -> DataFrame:
     """(tag, avg_minutes, popularity); popularity is the number of questions by default."""
     popularity = activity.tag_popularity(posts) if popularity is None else popularity
-    return tag_features(response.avg_minutes_per_tag(posts), popularity)
+    return tag_features(response.avg_minutes_per_tag(posts, unique_ids=unique_ids), popularity)
 
 
 def clusters_report(
     posts: DataFrame,
     centres: DataFrame | Iterable,
     popularity: DataFrame | None = None,
+    unique_ids: bool = False,
     **options,
 ) -> DataFrame:
     """(config, center, avg_minutes, popularity, size, at_rest): the clusters of the tags."""
-    points = clusters.points(features(posts, popularity))
+    points = clusters.points(features(posts, popularity, unique_ids))
     return clusters.centres_frame(posts.sparkSession, clusters.kmeans(points, centres, **options))

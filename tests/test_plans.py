@@ -147,7 +147,8 @@ def test_shuffles_per_report(spark, xl):
         assert shuffles(reports.activity_report(xl)) == 4
         assert shuffles(reports.activity_report(xl, unique_ids=True)) == 3
         assert shuffles(reports.activity_report_experts(xl, users)) == 5
-        assert shuffles(reports.features(xl)) == 6
+        assert shuffles(reports.features(xl)) == 4
+        assert shuffles(reports.features(xl, unique_ids=True)) == 4
     assert shuffles(reports.activity_report_experts(xl, users)) == 3
 
 

@@ -119,6 +119,16 @@ def test_mean_minutes_matches_all_pairs(make_posts):
         assert len(want) == 2 and as_dict(response.avg_minutes_per_tag(posts, bad), "tag", "avg_minutes") == want
 
 
+def test_only_ids_with_several_of_both_are_ranked(spark, make_posts):
+    rows = [question(i, a) for i, a in enumerate([1, 1, 2, 3, 3, 3, 4])] + [answer(a) for a in (1, 2, 2, 3, 3, 5, 5)]
+    valid = make_posts(*rows).selectExpr("*", "cast(accepted_answer_id as bigint) a", "cast(post_id as bigint) p")
+    asked = valid.where("post_type_id = '1'").selectExpr("a AS answer_id")
+    given = valid.where("post_type_id = '2'").selectExpr("p AS answer_id")
+    assert [r.answer_id for r in response.many_by_many(asked, given).collect()] == [3]
+    assert response.many_by_many(asked.where("answer_id = 1"), given) is None
+    assert response.many_by_many(asked.where("answer_id > 3"), given) is None
+
+
 def test_snapshot(hot):
     newest = store.store_posts(hot)
     assert newest.count() == COPIES + 2

@@ -7,12 +7,12 @@ import importlib.util
 from collections.abc import Callable
 from types import ModuleType
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 import oracles
 from forumlens.functions import distance, minutes_between, parse_date, slot_label, time_slot
-from forumlens.operators import activity, clusters, experts, joins, response, store, validity
+from forumlens.operators import activity, clusters, experts, joins, keyed, response, store, validity
 from forumlens.plans import reports
 from forumlens.session import keep, new_path
 from forumlens.sources import derived, files
@@ -148,7 +148,10 @@ def tag_features_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = reports.features(derived.posts(spark, sf_dir))
     files.write_csv(found, path)
     found.selectExpr("concat(tag, ',1') AS value").write.mode("append").text(path)
-    return files.read_tag_features(spark, path)
+    # A tag may hold a line break
+    more = new_path(spark, "tag-features")
+    files.write_csv(found.withColumn("tag", F.concat(F.lit("a\n\\n"), "tag")), more)
+    return files.read_tag_features(spark, path).unionByName(files.read_tag_features(spark, more))
 
 
 def _stored_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,20 +170,76 @@ def snapshot_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.read_snapshot(spark, path).withColumn("post_id", F.col("post_id").cast("string"))
 
 
-def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored snapshot with later versions of every fifth post and earlier ones of every seventh."""
-    first, second = new_path(spark, "snapshot"), new_path(spark, "snapshot")
-    posts = derived.posts(spark, sf_dir)
-    store.write_snapshot(posts, first)
+def _edits(posts: DataFrame) -> DataFrame:
+    """Later versions of every fifth post and earlier ones of every seventh."""
     later = posts.where("CAST(post_id AS BIGINT) % 5 = 0")
     earlier = posts.where("CAST(post_id AS BIGINT) % 7 = 0 AND CAST(post_id AS BIGINT) % 5 <> 0")
-    edits = later.withColumns({"creation_date": F.lit("later"), "owner_user_id": F.lit("77")}).unionByName(
+    return later.withColumns({"creation_date": F.lit("later"), "owner_user_id": F.lit("77")}).unionByName(
         earlier.withColumns({"creation_date": F.lit("1900-01-01T00:00:00.000"), "owner_user_id": F.lit("88")})
     )
-    store.upsert_snapshot(spark, first, edits, second)
+
+
+def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored snapshot with edits."""
+    first, second = new_path(spark, "snapshot"), new_path(spark, "snapshot")
+    posts = derived.posts(spark, sf_dir)
+    store.write_snapshot(posts, first)
+    store.upsert_snapshot(spark, first, _edits(posts), second)
     return store.read_snapshot(spark, second).select("post_id", "post_type_id", "creation_date", "owner_user_id", "tags")
 
 
+def _keyed(spark: SparkSession, posts: DataFrame, kind: str = "experts") -> str:
+    path = new_path(spark, "keyed")
+    keyed.create(posts, path, kind, buckets=8)
+    return path
+
+
+def keyed_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store kept by key with the same edits."""
+    posts = derived.posts(spark, sf_dir)
+    path = _keyed(spark, posts)
+    keyed.upsert(spark, path, _edits(posts))
+    return keyed.open_store(spark, path).posts.select("post_id", "post_type_id", "creation_date", "owner_user_id", "tags")
+
+
+def keyed_counts_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts per tag and user to which the changes of an upsert are added: other tags, then other owners."""
+    posts = derived.posts(spark, sf_dir)
+    path = _keyed(spark, posts)
+    counts = keep(keyed.answers_per_tag_user(keyed.open_store(spark, path)), "counts")
+    for rest, column, value in ((0, "tags", "<edited>"), (1, "owner_user_id", "77")):
+        edits = posts.where(f"CAST(post_id AS BIGINT) % 50 = {rest}")
+        change = keyed.upsert(spark, path, edits.withColumns({"creation_date": F.lit("later"), column: F.lit(value)}))
+        counts = keep(keyed.merge_counts(counts, keyed.count_changes(spark, path, change)), "counts")
+    return counts
+
+
+def experts_report_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reports.experts_report_keyed(keyed.open_store(spark, _keyed(spark, derived.posts_xl(spark, sf_dir))))
+
+
+def join_accepted_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed.join_accepted(keyed.open_store(spark, _keyed(spark, derived.posts_xl(spark, sf_dir))))
+
+
+def activity_report_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    posts = derived.posts(spark, sf_dir)
+    kept = keyed.open_store(spark, _keyed(spark, posts, "activity"))
+    return reports.activity_report_keyed(kept, reports.expert_users(posts))
+
+
+def scan_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines of a dump were kept, and dropped for what."""
+    path, seen = new_path(spark, "dump"), Observation()
+    dump = derived.posts_dump(spark, sf_dir)
+    files.write_csv(dump, path)
+    broken = "CASE CAST(post_id AS BIGINT) % 4 WHEN 0 THEN '1,2,3' WHEN 1 THEN repeat(',x', 40) WHEN 2 THEN '5,1,\"open' ELSE '' END AS value"
+    dump.where("CAST(post_id AS BIGINT) % 50 IN (7, 8)").selectExpr(broken).write.mode("append").text(path)
+    read_posts(spark, path, seen=seen).write.format("noop").mode("overwrite").save()
+    counts = [(reason, n) for reason, n in seen.get.items() if n and reason != "lines"]
+    return spark.createDataFrame(counts, "reason string, lines bigint")
+
+
 def _snapshot(spark: SparkSession, posts: DataFrame, **options) -> DataFrame:
     path = new_path(spark, "snapshot")
     store.write_snapshot(posts, path, **options)
@@ -316,6 +375,7 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         # Scans, filters, projections, scalars
         "scan_posts": scan_posts,
+        "scan_losses": scan_losses,
         "store_scan": store_scan,
         "store_scan_answers": store_scan_answers,
         "store_types": store_types,
@@ -330,6 +390,8 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_posts": _on(xl, lambda p: validity.typed(store.latest_posts(validity.valid_posts_store(p))).select(*_POSTS)),
         "snapshot_roundtrip": snapshot_roundtrip,
         "snapshot_upsert": snapshot_upsert,
+        "keyed_upsert": keyed_upsert,
+        "keyed_counts_current": keyed_counts_current,
         "activity_store": _on(posts, lambda p: store.activity_store(p).drop("created")),
         # Joins
         "join_accepted": _on(posts, joins.join_accepted),
@@ -337,6 +399,7 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "join_accepted_xl": _on(xl, joins.join_accepted),
         "join_parent": _on(posts, joins.join_parent),
         "join_accepted_store": _on(xl, lambda p: joins.join_accepted_store(keep(store.store_posts(p), "store"))),
+        "join_accepted_keyed": join_accepted_keyed,
         "semi_experts": semi_experts,
         "tag_features": _on(posts, reports.features),
         "tag_features_roundtrip": tag_features_roundtrip,
@@ -385,6 +448,8 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tag_clusters_report": _on(posts, lambda p: _at_rest(reports.clusters_report(p, TAG_CENTRES))),
         "experts_report_snapshot": experts_report_snapshot,
         "activity_report_snapshot": activity_report_snapshot,
+        "experts_report_keyed": experts_report_keyed,
+        "activity_report_keyed": activity_report_keyed,
         "tag_clusters_report_files": tag_clusters_report_files,
         "tag_clusters_report_xl": _on(xl, lambda p: _at_rest(reports.clusters_report(p, TAG_CENTRES_XL))),
     }
@@ -422,14 +487,16 @@ def _post_sql() -> dict[str, str]:
     CAST(CAST(post_id AS BIGINT) % 5 AS VARCHAR) AS favorite_count, CAST(NULL AS VARCHAR) AS community_owned_date,
     'On "' || owner_user_id || '", part ' || post_id AS title,
     CASE WHEN post_type_id = '2' THEN parent_id END AS parent_id FROM posts"""
-    return {
-        "scan_posts": sql(dump),
-        "snapshot_roundtrip": sql(f"{dump} WHERE post_type_id IN ('1', '2')"),
-        "snapshot_upsert": sql("""
+    upserted = """
   SELECT CAST(post_id AS BIGINT) AS post_id, post_type_id,
     CASE WHEN CAST(post_id AS BIGINT) % 5 = 0 THEN 'later' ELSE creation_date END AS creation_date,
     CASE WHEN CAST(post_id AS BIGINT) % 5 = 0 THEN '77' ELSE owner_user_id END AS owner_user_id, tags
-  FROM posts WHERE post_type_id IN ('1', '2')"""),
+  FROM posts WHERE post_type_id IN ('1', '2')"""
+    accepted_newest = "SELECT user_id, tags, question_id FROM asked_xl q JOIN newest_xl a ON q.answer_id = a.answer_id"
+    return {
+        "scan_posts": sql(dump),
+        "snapshot_roundtrip": sql(f"{dump} WHERE post_type_id IN ('1', '2')"),
+        "snapshot_upsert": sql(upserted),
         "experts_report_snapshot": sql(f"SELECT tag, {list_of} AS experts FROM experts_store GROUP BY tag", "posts_xl"),
         "activity_report_snapshot": sql(f"SELECT tag, {histogram} AS histogram FROM expert_slot_counts GROUP BY tag"),
         "tag_clusters_report_files": loop("complete", TAG_CENTRES),
@@ -464,15 +531,28 @@ def _post_sql() -> dict[str, str]:
         ),
         "join_accepted": sql("SELECT user_id, tags, minutes, question_id FROM joined"),
         "join_accepted_bad_dates": sql(f"SELECT user_id, tags, {minus_one} AS minutes, question_id FROM joined"),
-        "join_accepted_xl": sql("SELECT user_id, tags, minutes, question_id FROM joined", "posts_xl"),
+        "join_accepted_xl": sql("""
+  SELECT user_id, tags, date_sub('minute', q.created, a.created) AS minutes, question_id
+  FROM asked_xl q JOIN given_xl a ON q.answer_id = a.answer_id"""),
         "join_parent": sql("SELECT tags, slot FROM tag_slots"),
-        "join_accepted_store": sql("SELECT user_id, tags, question_id FROM joined_store", "posts_xl"),
+        "join_accepted_store": sql(accepted_newest),
+        "join_accepted_keyed": sql(accepted_newest),
+        "experts_report_keyed": sql(f"SELECT tag, {list_of} AS experts FROM experts_store GROUP BY tag", "posts_xl"),
+        "activity_report_keyed": sql(f"SELECT tag, {histogram} AS histogram FROM expert_slot_counts GROUP BY tag"),
+        "keyed_upsert": sql(upserted),
+        "keyed_counts_current": sql("SELECT tag, user_id, answers FROM edited_counts"),
+        "scan_losses": sql("""
+  SELECT reason, count(*) AS lines FROM (
+    SELECT 'kept' AS reason FROM posts UNION ALL
+    SELECT CASE CAST(post_id AS BIGINT) % 4 WHEN 0 THEN 'fields' WHEN 1 THEN 'fields' WHEN 2 THEN 'open_quote' ELSE 'empty' END
+    FROM posts WHERE CAST(post_id AS BIGINT) % 50 IN (7, 8)) GROUP BY reason"""),
         "semi_experts": sql("""
   SELECT post_id, owner_user_id, parent_id FROM valid_activity
   WHERE post_type_id = '2' AND owner_user_id IN (SELECT user_id FROM experts)"""),
         "tag_features": sql("SELECT tag, avg_minutes, popularity FROM features"),
         "tag_features_roundtrip": sql(
-            "SELECT tag, CAST(avg_minutes AS DOUBLE) AS avg_minutes, CAST(popularity AS DOUBLE) AS popularity FROM features"
+            "SELECT t.tag, CAST(avg_minutes AS DOUBLE) AS avg_minutes, CAST(popularity AS DOUBLE) AS popularity"
+            " FROM features f, LATERAL (VALUES (f.tag), ('a' || chr(10) || '\\n' || f.tag)) AS t(tag)"
         ),
         "answers_per_tag_user": sql("SELECT tag, user_id, answers FROM counts"),
         "answers_per_tag_user_joined": sql("SELECT tag, user_id, answers FROM counts", "posts_xl"),

@@ -75,9 +75,14 @@ def activity_of_experts(store: DataFrame, experts: DataFrame, slots: int = TIME_
     parent in the store is left out.
     """
     given = answers(store).filter(F.col("parent_id").isNotNull())
+    return activity_of_sides(store.select("post_id", "tags"), given, experts, slots)
+
+
+def activity_of_sides(asked: DataFrame, given: DataFrame, experts: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
+    """The same from posts (post_id, tags), each once, and answers (owner_user_id, parent_id, created)."""
     by_experts = semi_experts(given.select("owner_user_id", "parent_id", "created"), experts)
-    asked = store.filter(present("tags")).select("post_id", "tags", F.lit(1).alias("asked"))
-    return _per_tag(asked, answers_per_parent(by_experts, slots))
+    tagged = asked.filter(present("tags")).withColumn("asked", F.lit(1))
+    return _per_tag(tagged, answers_per_parent(by_experts, slots))
 
 
 def _slot_pair(slot: int) -> Column:

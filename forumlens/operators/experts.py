@@ -43,8 +43,8 @@ def _asked_tags(asked: DataFrame) -> DataFrame:
     )
 
 
-def _count_unique(asked: DataFrame, given: DataFrame) -> DataFrame:
-    """The same for answers that occur once: (answer_id, tags) and (answer_id, user_id).
+def count_unique(asked: DataFrame, given: DataFrame) -> DataFrame:
+    """Answers per (tag, user_id) where each occurs once, from (answer_id, tags) and (answer_id, user_id).
 
     A question then meets one answer at most, so its tag list can stay whole up
     to the count: one row per question goes through each shuffle, not one per tag.
@@ -66,7 +66,7 @@ def answers_per_tag_user(posts: DataFrame, unique_ids: bool = False) -> DataFram
         F.col("post_id").alias("answer_id"), F.col("owner_user_id").alias("user_id")
     )
     if unique_ids:
-        return _count_unique(asked, given)
+        return count_unique(asked, given)
     given = given.groupBy("answer_id", "user_id").agg(F.count("*").alias("given"))
     return _count_pairs(_asked_tags(asked), given)
 
@@ -74,7 +74,7 @@ def answers_per_tag_user(posts: DataFrame, unique_ids: bool = False) -> DataFram
 def answers_per_tag_user_store(store: DataFrame) -> DataFrame:
     """The same from a snapshot, where each post occurs once."""
     asked, given = store_sides(store)
-    return _count_unique(asked.select("answer_id", "tags"), given)
+    return count_unique(asked.select("answer_id", "tags"), given)
 
 
 def topk_experts(counts: DataFrame, k: int = TOP_K) -> DataFrame:

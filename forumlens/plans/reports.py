@@ -13,7 +13,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame
 
 from forumlens.functions.dates import TIME_SLOTS
-from forumlens.operators import activity, clusters, experts, response
+from forumlens.operators import activity, clusters, experts, keyed, response
 from forumlens.operators.joins import tag_features
 from forumlens.operators.store import VERSION, activity_store, activity_view, store_posts, store_view
 from forumlens.session import keep
@@ -43,6 +43,11 @@ def experts_report_snapshot(snapshot: DataFrame, k: int = experts.TOP_K) -> Data
     return _experts_of_store(store_view(snapshot), k)
 
 
+def experts_report_keyed(kept: keyed.Store, k: int = experts.TOP_K) -> DataFrame:
+    """The same from a store kept by key, whose lookups need no shuffle."""
+    return experts.experts_list(experts.topk_experts(keyed.answers_per_tag_user(kept), k))
+
+
 def _experts_of_store(store: DataFrame, k: int) -> DataFrame:
     counts = experts.answers_per_tag_user_store(store)
     return experts.experts_list(experts.topk_experts(counts, k))
@@ -83,6 +88,11 @@ def activity_report_snapshot(snapshot: DataFrame, users: DataFrame, slots: int =
     return activity.activity_histogram(wide)
 
 
+def activity_report_keyed(kept: keyed.Store, users: DataFrame, slots: int = TIME_SLOTS) -> DataFrame:
+    """The same from a store kept by key, whose lookups need no shuffle."""
+    return activity.activity_histogram(keyed.activity_of_experts(kept, users, slots))
+
+
 def features(posts: DataFrame, popularity: DataFrame | None = None, unique_ids: bool = False) -> DataFrame:
     """(tag, avg_minutes, popularity); popularity is the number of questions by default."""
     popularity = activity.tag_popularity(posts) if popularity is None else popularity

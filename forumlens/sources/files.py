@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from forumlens.functions import as_id, present
-from forumlens.sources.records import read_records
+from forumlens.sources.records import escape_breaks, read_records
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Rows as comma-separated text; a missing value is an empty field."""
-    df.write.mode("overwrite").csv(path, sep=",", quote='"', escape='"', emptyValue="")
+    """Rows as comma-separated text; a missing value is an empty field.
+
+    A record is one line: breaks inside a text are written as ``escape_breaks`` tells.
+    """
+    lines = [escape_breaks(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes]
+    df.select(*lines).write.mode("overwrite").csv(path, sep=",", quote='"', escape='"', emptyValue="")
 
 
 def write_text(df: DataFrame, path: str, sep: str = "\t") -> None:
@@ -34,20 +38,23 @@ def read_experts(spark: SparkSession, path: str) -> DataFrame:
     ).filter(F.col("user_id").isNotNull())
 
 
-def read_popularity(spark: SparkSession, path: str) -> DataFrame:
+def read_popularity(spark: SparkSession, path: str, seen: Observation | None = None) -> DataFrame:
     """Lines ``tag,popularity``; a line whose popularity is no number is dropped.
 
     Of lines that repeat a tag the greatest popularity counts.
     """
-    rows = read_records(spark, path, ["tag", "popularity"])
+    rows = read_records(spark, path, ["tag", "popularity"], breaks=True, seen=seen)
     numbers = rows.select("tag", F.col("popularity").try_cast("double").alias("popularity"))
     known = numbers.filter(present("tag") & F.col("popularity").isNotNull())
     return known.groupBy("tag").agg(F.max("popularity").alias("popularity"))
 
 
-def read_tag_features(spark: SparkSession, path: str) -> DataFrame:
-    """Lines ``tag,minutes,popularity``; a line without exactly three fields is dropped."""
-    rows = read_records(spark, path, ["tag", "avg_minutes", "popularity"])
+def read_tag_features(spark: SparkSession, path: str, seen: Observation | None = None) -> DataFrame:
+    """Lines ``tag,minutes,popularity``; a line without exactly three fields is dropped.
+
+    ``seen`` counts lines as ``read_records`` tells, here and in ``read_popularity``.
+    """
+    rows = read_records(spark, path, ["tag", "avg_minutes", "popularity"], breaks=True, seen=seen)
     return rows.select(
         "tag",
         F.col("avg_minutes").try_cast("double").alias("avg_minutes"),

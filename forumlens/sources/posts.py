@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -35,18 +35,24 @@ ANSWER = "2"
 
 
 def read_posts(
-    spark: SparkSession, path: str, parent_id_from: int = 2, escape: str = '"'
+    spark: SparkSession,
+    path: str,
+    parent_id_from: int = 2,
+    escape: str = '"',
+    breaks: bool = False,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """Posts of a headerless CSV dump, one record per line, all fields text.
 
     Lines with too few or too many fields, or with a quote left open, are
     dropped. ``parent_id_from`` names the position (2 or 16) that holds the
     parent of an answer. ``escape`` is ``'"'`` for doubled quotes, ``'\\\\'`` for
-    quotes behind a backslash.
+    quotes behind a backslash. ``breaks`` and ``seen`` are those of ``read_records``: a dump
+    of ``write_csv`` has line breaks to put back, and dropped lines can be counted.
     """
     if parent_id_from not in (2, 16):
         raise ValueError(f"parent_id_from must be 2 or 16, got {parent_id_from}")
-    records = read_records(spark, path, RECORD, escape)
+    records = read_records(spark, path, RECORD, escape, breaks, seen)
     second = F.col("accepted_or_parent_id")
     is_answer = F.col("post_type_id") == ANSWER
     parent = second if parent_id_from == 2 else F.col("parent_id")

@@ -35,6 +35,26 @@ _BLOCKS = {
   SELECT CAST(100000000 + l_orderkey * 10 + l_linenumber AS VARCHAR), '2', '',
     strftime(l_shipdate + to_minutes(CAST((l_partkey * 7) % 1440 AS BIGINT)), '%Y-%m-%dT%H:%M:%S.000'),
     CAST(l_suppkey AS VARCHAR), '', CAST(l_orderkey AS VARCHAR) FROM lineitem""",
+    # The sides of the accepted join of posts_xl, straight from the given tables
+    "asked_xl": """
+  SELECT CAST(o_orderkey AS BIGINT) AS question_id, 100000000 + CAST(o_orderkey AS BIGINT) * 10 + 1 AS answer_id,
+    date_trunc('second', o_orderdate + to_minutes(CAST(o_custkey % 1440 AS BIGINT))) AS created,
+    '<' || lower(substr(o_orderpriority, 3)) || '><s' || CAST(o_custkey % 50 AS VARCHAR) || '>' AS tags FROM orders""",
+    "given_xl": """
+  SELECT 100000000 + CAST(l_orderkey AS BIGINT) * 10 + l_linenumber AS answer_id, CAST(l_suppkey AS BIGINT) AS user_id,
+    date_trunc('second', l_shipdate + to_minutes(CAST((l_partkey * 7) % 1440 AS BIGINT))) AS created FROM lineitem""",
+    "newest_xl": """
+  SELECT answer_id, user_id FROM (SELECT *, row_number() OVER (
+      PARTITION BY answer_id ORDER BY created DESC, CAST(user_id AS VARCHAR) DESC) AS version FROM given_xl) WHERE version = 1""",
+    # Edits of every fiftieth post, of which the newest version counts
+    "edited": """
+  SELECT post_id, CASE WHEN CAST(post_id AS BIGINT) % 50 = 1 THEN '77' ELSE owner_user_id END AS owner_user_id,
+    post_type_id, accepted_answer_id, CASE WHEN CAST(post_id AS BIGINT) % 50 = 0 THEN '<edited>' ELSE tags END AS tags FROM posts""",
+    "edited_counts": """
+  SELECT tag, user_id, count(*) AS answers FROM (
+    SELECT TRY_CAST(a.owner_user_id AS BIGINT) AS user_id, unnest({{split_q}}) AS tag
+    FROM edited q JOIN edited a ON q.accepted_answer_id = a.post_id
+    WHERE q.post_type_id = '1' AND a.post_type_id IN ('1', '2') AND q.owner_user_id <> '' AND a.owner_user_id <> '') GROUP BY tag, user_id""",
     # Typed posts: ids as numbers, the date parsed
     "typed": """
   SELECT TRY_CAST(post_id AS BIGINT) AS post_id, post_type_id,
@@ -150,7 +170,9 @@ def with_blocks(select: str, posts: str = "posts", extra: str = "") -> str:
                 needed.add(name)
                 todo.append(blocks[name])
     order = ["posts", *[name for name in _BLOCKS if name not in ("posts", "posts_xl")]]
-    ctes = [f"{name} AS ({blocks[name]})" for name in order if name in needed]
+    # Computed once, whatever is asked of the result
+    once = {"asked_xl", "given_xl", "newest_xl"}
+    ctes = [f"{name} AS {'MATERIALIZED ' * (name in once)}({blocks[name]})" for name in order if name in needed]
     if extra:
         ctes.append(extra)
     recursive = "RECURSIVE " if "FROM passes" in extra else ""

@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from conftest import answer, question
@@ -151,3 +152,31 @@ def test_popularity_of_a_repeated_tag(spark, tmp_path):
     (tmp_path / "p.csv").write_text("a,3\na,7\nb,many\nb,2\n,4\nc\n")
     found = files.read_popularity(spark, str(tmp_path / "p.csv"))
     assert sorted(map(tuple, found.collect())) == [("a", 7.0), ("b", 2.0)]
+
+
+def test_line_breaks_and_backslashes_come_back(spark):
+    tags = ["a\nb", "a\r\nb", "back\\slash", "\\n", "\\\\n\n", 'q"u,o\n"te', "\\", "plain"]
+    rows = [(t, float(i), None if i % 2 else 1.5) for i, t in enumerate(tags)]
+    path = new_path(spark, "features")
+    files.write_csv(spark.createDataFrame(rows, "tag string, avg_minutes double, popularity double"), path)
+    assert sorted(map(tuple, files.read_tag_features(spark, path).collect()), key=str) == sorted(rows, key=str)
+    assert spark.read.text(path).count() == len(rows)
+
+
+def test_dropped_lines_are_counted_by_reason(spark, tmp_path):
+    good = "1,1,2" + "," * 14
+    lines = [good, good, "", "", "", "1,2", good + ",", good + ',"open', '"', good]
+    path = tmp_path / "dump"
+    path.write_text("\n".join(lines) + "\n")
+    seen = Observation()
+    posts = read_posts(spark, str(path), seen=seen)
+    assert posts.count() == read_posts(spark, str(path)).count() == 3
+    assert seen.get == {"lines": 10, "kept": 3, "empty": 3, "open_quote": 2, "fields": 2}
+    # The lines are read once
+    text = posts._jdf.queryExecution().executedPlan().toString()
+    assert text.count("FileScan text") == 1 and "CollectMetrics" in text
+    counted = Observation()
+    path = new_path(spark, "popularity")
+    spark.createDataFrame([("a,1",), ("b",), ("c,x",)], "value string").write.text(path)
+    assert files.read_popularity(spark, path, counted).count() == 1
+    assert counted.get == {"lines": 3, "kept": 2, "empty": 0, "open_quote": 0, "fields": 1}

@@ -323,6 +323,13 @@ def kmeans_loop(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _at_rest(clusters.centres_frame(spark, found))
 
 
+def kmeans_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stopped after two passes, then taken up again from what they wrote."""
+    output, points = new_path(spark, "passes"), _points(spark, sf_dir)
+    clusters.kmeans(points, POINT_CENTRES, max_iter=2, output=output)
+    return _at_rest(clusters.centres_frame(spark, clusters.kmeans(points, POINT_CENTRES, output=output)))
+
+
 def kmeans_multi_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two inputs, one per configuration."""
     first = clusters.points(derived.tag_points(spark, sf_dir)).withColumn("config", F.lit(1))
@@ -435,6 +442,7 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "kmeans_converged": kmeans_converged,
         "kmeans_history": kmeans_history,
         "kmeans_loop": kmeans_loop,
+        "kmeans_resumed": kmeans_resumed,
         "kmeans_multi_config": kmeans_multi_config,
         "kmeans_prototype": kmeans_prototype,
         # Reports
@@ -590,6 +598,7 @@ def _post_sql() -> dict[str, str]:
             extra=oracles.lloyd_loop(points, POINT_CENTRES),
         ),
         "kmeans_loop": loop(points, POINT_CENTRES),
+        "kmeans_resumed": loop(points, POINT_CENTRES),
         "kmeans_multi_config": sql(
             f"SELECT {rounded}, rest AS at_rest FROM passes WHERE pass = (SELECT max(pass) FROM passes)",
             extra=both + oracles.lloyd_loop("inputs", INPUT_CENTRES, own_config=True),

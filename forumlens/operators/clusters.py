@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 from decimal import ROUND_HALF_EVEN, Decimal
-from itertools import count
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 from forumlens.functions import distance, normalise_minutes, round_half_even
 from forumlens.functions.points import TIME_NORMALISER
 from forumlens.operators.joins import complete_features
-from forumlens.session import keep
+from forumlens.session import keep, written
 
 # Means of the raw coordinates, compared after normalising them
 RAW = "raw"
@@ -159,6 +158,72 @@ def unconverged(moved: DataFrame, eps: float = 1.0, space: str = RAW) -> DataFra
     )
 
 
+@dataclass
+class _Loop:
+    """Where the passes have come to."""
+
+    current: list[Centre]
+    eps: float
+    min_iter: int
+    space: str
+    keep_empty: bool
+    iteration: int = 0
+    at_rest: dict[int, bool] = field(default_factory=dict)
+    sizes: dict[tuple[int, int], int] = field(default_factory=dict)
+    history: list[tuple] = field(default_factory=list)
+    cycled: bool = False
+    over: bool = False
+
+    def __post_init__(self) -> None:
+        self.seen = {tuple(self.current)}
+
+    def take(self, moved: Iterable) -> None:
+        """Go on by a pass, from rows as ``step`` gives them."""
+        self.iteration += 1
+        self.sizes = {(r.config, r.center): r.size for r in moved}
+        empty = [c for c in self.current if (c.config, c.center) not in self.sizes]
+        self.at_rest = {c.config: True for c in self.current}
+        for r in moved:
+            rests = bool(_at_rest(r.shift, self.eps, self.space))
+            self.at_rest[r.config] &= rests
+            self.history.append((r.config, self.iteration, *r[1:6], rests))
+        self.current = sorted([Centre(*r[:4]) for r in moved] + (empty if self.keep_empty else []))
+        rest = all(self.at_rest.values())
+        self.over = not self.current or (self.iteration >= self.min_iter and rest)
+        self.cycled = not self.over and tuple(self.current) in self.seen and not rest
+        self.over |= self.cycled
+        self.seen.add(tuple(self.current))
+
+
+_PASS = "config int, center int, avg_minutes double, popularity double, size bigint, shift double"
+
+
+def _pass_path(output: str, iteration: int) -> str:
+    return f"{output}/passes/iteration={iteration}"
+
+
+def _write_pass(spark: SparkSession, output: str, iteration: int, moved: list) -> None:
+    spark.createDataFrame([tuple(r) for r in moved], _PASS).coalesce(1).write.mode("overwrite").parquet(_pass_path(output, iteration))
+
+
+def read_passes(spark: SparkSession, output: str) -> DataFrame:
+    """The passes that ``kmeans`` wrote: ``iteration`` and the columns of ``step``."""
+    return spark.read.schema(f"{_PASS}, iteration int").parquet(f"{output}/passes")
+
+
+def _resume(spark: SparkSession, output: str, loop: _Loop) -> None:
+    """Bring ``loop`` to the last whole pass at ``output``, or begin there."""
+    start = f"{output}/start"
+    if not written(spark, start):
+        rows = [tuple(c) for c in loop.current]
+        spark.createDataFrame(rows, "config int, center int, avg_minutes double, popularity double").write.mode("overwrite").parquet(start)
+        return
+    if as_centres(spark.read.parquet(start)) != loop.current:
+        raise ValueError(f"the passes at {output} began from other centres")
+    while not loop.over and written(spark, _pass_path(output, loop.iteration + 1)):
+        loop.take(spark.read.schema(_PASS).parquet(_pass_path(output, loop.iteration + 1)).collect())
+
+
 def kmeans(
     points: DataFrame,
     centres: DataFrame | Iterable,
@@ -167,6 +232,7 @@ def kmeans(
     max_iter: int | None = None,
     space: str = RAW,
     keep_empty: bool = False,
+    output: str | None = None,
 ) -> Clustering:
     """Passes until no cluster of any configuration moves by ``eps`` or more.
 
@@ -175,35 +241,28 @@ def kmeans(
     back in a later pass would do so for ever: the loop ends there too. With
     ``max_iter`` it ends after so many passes at the latest. Either way the
     result marks the configurations that have not come to rest.
+
+    With ``output`` every pass is written to that folder when it is done, for
+    ``read_passes``; a call that finds passes there goes on after the last whole one.
+    It must be given the same points, centres and rules.
     """
     if max_iter is not None and max_iter < 1:
         raise ValueError("max_iter must be at least 1")
-    current = as_centres(centres)
-    table = keep(points, "points").persist()
-    history: list[tuple] = []
-    seen = {tuple(current)}
-    cycled = False
-    try:
-        for iteration in count(1):
-            moved = step(table, current, space).collect()
-            history.extend((r.config, iteration, *r[1:], bool(_at_rest(r.shift, eps, space))) for r in moved)
-            found = {(r.config, r.center): r for r in moved}
-            empty = [c for c in current if (c.config, c.center) not in found]
-            at_rest = {c.config: True for c in current}
-            for r in moved:
-                at_rest[r.config] &= _at_rest(r.shift, eps, space)
-            current = [Centre(*r[:4]) for r in moved] + (empty if keep_empty else [])
-            current.sort()
-            if not current or (iteration >= min_iter and all(at_rest.values())):
-                break
-            cycled = tuple(current) in seen and not all(at_rest.values())
-            if cycled or iteration == max_iter:
-                break
-            seen.add(tuple(current))
-    finally:
-        table.unpersist()
-    sizes = {key: r.size for key, r in found.items()}
-    return Clustering(current, sizes, iteration, at_rest, history, cycled)
+    spark = points.sparkSession
+    loop = _Loop(as_centres(centres), eps, min_iter, space, keep_empty)
+    if output:
+        _resume(spark, output, loop)
+    if not loop.over and loop.iteration != max_iter:
+        table = keep(points, "points").persist()
+        try:
+            while not loop.over and loop.iteration != max_iter:
+                moved = step(table, loop.current, space).collect()
+                if output:
+                    _write_pass(spark, output, loop.iteration + 1, moved)
+                loop.take(moved)
+        finally:
+            table.unpersist()
+    return Clustering(loop.current, loop.sizes, loop.iteration, loop.at_rest, loop.history, loop.cycled)
 
 
 def centres_frame(spark: SparkSession, clustering: Clustering) -> DataFrame:

@@ -30,7 +30,7 @@ from forumlens.operators.activity import activity_of_sides
 from forumlens.operators.experts import count_unique
 from forumlens.operators.store import VERSION, activity_view, latest_posts, store_view
 from forumlens.operators.validity import answers, questions, valid_posts_activity_store, valid_posts_store
-from forumlens.session import keep
+from forumlens.session import delete, keep, names_in, written
 from forumlens.sources.posts import ANSWER
 
 #: Buckets of a store by default. A bucket should hold some hundred MB; the number stays for good.
@@ -93,20 +93,9 @@ def _bucket(key: str, buckets: int) -> Column:
     return F.pmod(F.hash(key), F.lit(buckets))
 
 
-def _files(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    files, place = _files(spark, path)
-    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
-
-
 def versions(spark: SparkSession, path: str) -> list[int]:
     """The versions of the store whose manifests are whole, oldest first."""
-    whole = [n for n in _names(spark, f"{path}/manifests") if "_SUCCESS" in _names(spark, f"{path}/manifests/{n}")]
-    return [int(n) for n in whole]
+    return [int(n) for n in names_in(spark, f"{path}/manifests") if written(spark, f"{path}/manifests/{n}")]
 
 
 def _manifest(spark: SparkSession, path: str, version: int | None = None) -> Manifest:
@@ -129,7 +118,7 @@ def _write(rows: DataFrame, key: str, buckets: int, path: str) -> set[str]:
     dealt = rows.withColumn(_BUCKET, _bucket(key, buckets)).repartition(buckets, key)
     dealt.write.format("parquet").partitionBy(_BUCKET).bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
     rows.sparkSession.sql(f"DROP TABLE {name}")
-    return {n.split("=")[1] for n in _names(rows.sparkSession, path) if n.startswith(f"{_BUCKET}=")}
+    return {n.split("=")[1] for n in names_in(rows.sparkSession, path) if n.startswith(f"{_BUCKET}=")}
 
 
 def _read(spark: SparkSession, path: str, manifest: Manifest, table: str, key: str) -> DataFrame:
@@ -210,7 +199,7 @@ def upsert(spark: SparkSession, path: str, posts: DataFrame) -> Change:
     ids = fresh.select("post_id")
     before = stored.where(F.col(_BUCKET).isin(touched)).drop(_BUCKET)
     merged = latest_posts(before.unionByName(fresh), order_by=old.order_by)
-    written = _write(merged, "post_id", old.buckets, f"{path}/{folder}/posts")
+    filled = _write(merged, "post_id", old.buckets, f"{path}/{folder}/posts")
     after = spark.read.schema(merged.schema).parquet(f"{path}/{folder}/posts").drop(_BUCKET)
 
     was, now = before.join(ids, "post_id", "left_semi"), after.join(ids, "post_id", "left_semi")
@@ -225,7 +214,7 @@ def upsert(spark: SparkSession, path: str, posts: DataFrame) -> Change:
         left = index.join(gone.select(rule.source), rule.source, "left_anti").select(*came.columns)
         indexed = _write(left.unionByName(came), rule.key, old.buckets, f"{path}/{folder}/index")
     folders = {
-        "posts": _switched(old.folders["posts"], touched, written, folder),
+        "posts": _switched(old.folders["posts"], touched, filled, folder),
         "index": _switched(old.folders["index"], changed, indexed, folder),
     }
     _commit(spark, path, replace(old, version=version, folders=folders))
@@ -237,10 +226,10 @@ def _touched(rows: DataFrame, key: str, buckets: int) -> list[int]:
     return sorted(r.bucket for r in rows.select(_bucket(key, buckets).alias("bucket")).distinct().collect())
 
 
-def _switched(folders: dict[str, str], touched: list[int], written: set[str], folder: str) -> dict[str, str]:
+def _switched(folders: dict[str, str], touched: list[int], filled: set[str], folder: str) -> dict[str, str]:
     """Touched buckets lie in the new folder, or nowhere if they have no rows any more."""
     left = {b: f for b, f in folders.items() if int(b) not in touched}
-    return dict(sorted((left | dict.fromkeys(written, folder)).items(), key=lambda x: int(x[0])))
+    return dict(sorted((left | dict.fromkeys(filled, folder)).items(), key=lambda x: int(x[0])))
 
 
 def clean(spark: SparkSession, path: str, versions_kept: int = 2) -> list[str]:
@@ -251,10 +240,9 @@ def clean(spark: SparkSession, path: str, versions_kept: int = 2) -> list[str]:
     known = versions(spark, path)
     used = {f for v in known[-versions_kept:] for t in _manifest(spark, path, v).folders.values() for f in t.values()}
     gone = [f"manifests/{v:08d}" for v in known[:-versions_kept]]
-    gone += [n for n in _names(spark, path) if n not in used and n[:8].isdigit()]
+    gone += [n for n in names_in(spark, path) if n not in used and n[:8].isdigit()]
     for name in gone:
-        files, place = _files(spark, f"{path}/{name}")
-        files.delete(place, True)
+        delete(spark, f"{path}/{name}")
     return gone
 
 

@@ -65,12 +65,32 @@ def release(spark: SparkSession, since: int = 0) -> int:
     paths = _made.get(spark.conf.get("spark.app.id"), [])
     gone = paths[since:]
     for path in gone:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
     del paths[since:]
     return len(gone)
 
 
+def _place(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """What a folder of any file system holds, in order; nothing if there is no such folder."""
+    files, place = _place(spark, path)
+    return sorted(s.getPath().getName() for s in files.listStatus(place)) if files.exists(place) else []
+
+
+def written(spark: SparkSession, path: str) -> bool:
+    """Whether a table at ``path`` is whole."""
+    return "_SUCCESS" in names_in(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, place = _place(spark, path)
+    files.delete(place, True)
+
+
 def made(spark: SparkSession) -> int:
     """How many tables this application has kept and not released."""
     return len(_made.get(spark.conf.get("spark.app.id"), []))

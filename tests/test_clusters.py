@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from forumlens.functions.points import TIME_NORMALISER
 from forumlens.operators import clusters
+from forumlens.session import new_path
 
 
 def frame(spark, rows):
@@ -143,3 +144,33 @@ def test_unconverged(spark):
 def test_no_centres(spark):
     with pytest.raises(ValueError):
         clusters.assign(frame(spark, [("a", 0.0, 0.0)]), [])
+
+
+def test_a_stopped_run_goes_on_after_its_last_whole_pass(spark, monkeypatch):
+    rows = [(f"t{i}", float((i * 7919) % 1000 * 4000 - 900000), float(i % 37)) for i in range(300)]
+    points = clusters.points(spark.createDataFrame(rows, "tag string, avg_minutes double, popularity double"))
+    start = [(1, 0, -900000, 1), (1, 1, -800000, 30), (1, 2, 100000, 2), (2, 0, 0, 0), (2, 1, 1, 1)]
+    whole = clusters.kmeans(points, start)
+    assert whole.passes > 3
+    output, step, ran = new_path(spark, "passes"), clusters.step, []
+
+    def failing(table, centres, space):
+        ran.append(1)
+        if len(ran) == 3:
+            raise RuntimeError("the driver is lost")
+        return step(table, centres, space)
+
+    with monkeypatch.context() as m:
+        m.setattr(clusters, "step", failing)
+        with pytest.raises(RuntimeError):
+            clusters.kmeans(points, start, output=output)
+        assert clusters.read_passes(spark, output).select("iteration").distinct().count() == 2
+        again = clusters.kmeans(points, start, output=output)
+    assert len(ran) == 1 + whole.passes
+    assert (again.centres, again.sizes, again.passes, again.at_rest) == (whole.centres, whole.sizes, whole.passes, whole.at_rest)
+    assert sorted(again.history) == sorted(whole.history)
+    # A finished run is only read
+    monkeypatch.setattr(clusters, "step", lambda *_: 1 / 0)
+    assert clusters.kmeans(points, start, output=output).centres == whole.centres
+    with pytest.raises(ValueError):
+        clusters.kmeans(points, start[:2], output=output)

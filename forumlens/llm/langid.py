@@ -40,20 +40,24 @@ def letters(text: str | None) -> bytes:
 def fit(labelled: DataFrame, size: int = DICTIONARY_BYTES, rows: int = SAMPLE_ROWS, seed: int = 5) -> dict[str, bytes]:
     """A dictionary per non-null language of ``labelled`` (``doc_id, text, lang``).
 
-    Per language the ``rows`` texts with the smallest hashes of their ids are
-    looked at, and whole texts that still fit are joined up to ``size`` bytes,
-    one at least. Texts of over four times ``size`` are not learned from. The
-    result is empty if no row has a language and letters.
+    Per language the ``rows`` texts with letters that have the smallest hashes of their
+    ids are looked at, and those that still fit are joined up to ``size`` bytes, one at
+    least. Of a text of over four times ``size`` a piece is taken, from its first letter
+    on, so that a language of long texts is learned too. The result is empty if no row has
+    a language and letters.
     """
-    known = labelled.where("lang is not null and text is not null").select("doc_id", "text", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("order"))
+    known = labelled.where("lang is not null and text is not null").where(F.col("text").rlike(r"\p{L}"))
+    known = known.select("doc_id", "text", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("order"))
     # A hash bound from the counts thins out each language before its rows are ranked
     counts = keep(known.groupBy(F.col("lang").alias("lang2")).agg(F.count("*").alias("n")), "languages")
     low = F.shiftrightunsigned("order", 11) / float(2**53)
-    thinned = known.join(counts, (F.col("lang") == F.col("lang2")) & (low < 4.0 * rows / F.col("n"))).where(F.col("text").rlike(r"\p{L}"))
+    thinned = known.join(counts, (F.col("lang") == F.col("lang2")) & (low < 4.0 * rows / F.col("n")))
     first = Window.partitionBy("lang").orderBy("order", "doc_id", F.xxhash64("text"))
-    short = F.when(F.octet_length("text") <= 4 * size, F.col("text"))
+    # So many characters are at most four times as many bytes
+    piece = F.substr("text", F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(size))
+    short = F.when(F.octet_length("text") <= 4 * size, F.col("text")).otherwise(piece)
     chosen = thinned.select("lang", "order", "doc_id", short.alias("text"), F.row_number().over(first).alias("place")).where(F.col("place") <= rows)
-    fitting = chosen.where("text is not null").withColumn("used", F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("place")))
+    fitting = chosen.withColumn("used", F.sum(F.octet_length("text")).over(Window.partitionBy("lang").orderBy("place")))
     sample = fitting.where(F.col("used") <= 8 * size).select("lang", "place", "text").collect()
     found: dict[str, bytes] = {}
     for row in sorted(sample, key=lambda r: (r["lang"], r["place"])):

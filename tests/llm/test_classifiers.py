@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from forumlens.llm import langid, quality
@@ -115,3 +117,47 @@ def test_a_dictionary_is_bounded(make_docs):
     rows = [(i, "word " * 200 + str(i), "en", "s") for i in range(50)] + [(99, "long " * 100_000, "de", "s"), (98, "kurz", "de", "s")]
     found = langid.fit(make_docs(*rows), size=5000)
     assert sorted(found) == ["de", "en"] and all(len(d) <= 5000 for d in found.values())
+
+
+def test_a_language_of_long_texts_only_is_learned(spark):
+    draw = random.Random(9)
+    words = {k: ["".join(draw.choices(letters, k=draw.randint(3, 9))) for _ in range(400)] for k, letters in (("xx", "abcdefg"), ("yy", "mnopqrs"))}
+    text = lambda k, n: " ".join(draw.choices(words[k], k=n))
+    # One letter comes behind more digits than a piece has
+    rows = [(i, text("xx", 300), "xx") for i in range(20)] + [(100 + i, "7 " * 40_000 + text("yy", 60_000), "yy") for i in range(3)]
+    rows += [(200 + i, "123 456", "zz") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = langid.fit(docs)
+    assert sorted(found) == ["xx", "yy"]
+    got = langid.identified(docs.where("lang <> 'zz'"), found).collect()
+    assert all(r.lang_pred == ("xx" if r.doc_id < 100 else "yy") for r in got)
+
+
+def test_language_is_that_of_the_smallest_compression(spark, sample):
+    """Each piece of a text compressed with each dictionary by the library's plain call."""
+    docs = spark.read.parquet(f"{sample}/documents.parquet")
+    dictionaries = langid.fit(docs)
+    docs = docs.where("doc_id % 3 = 0")
+    found = {r.doc_id: r for r in langid.identified(docs, dictionaries).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(found) == len(texts) > 50
+    for i, text in texts.items():
+        lowered = (text or "").lower()
+        data = re.sub(r"[\W\d_]+", " ", lowered).strip().encode()
+        if not data:
+            assert (found[i].lang_pred, found[i].score) == ("und", 0)
+            continue
+        sizes = {}
+        for lang, content in dictionaries.items():
+            coder = zstandard.ZstdCompressor(
+                level=langid.LEVEL,
+                dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+                write_content_size=False,
+                write_dict_id=False,
+            )
+            pieces = range(0, len(data), langid.PIECE_BYTES)
+            sizes[lang] = sum(len(coder.compress(data[at : at + langid.PIECE_BYTES])) for at in pieces)
+        least = min(sizes.values())
+        assert found[i].lang_pred == min(k for k, v in sizes.items() if v == least)
+        others = sum(sizes.values()) - least
+        assert found[i].score == pytest.approx(max(0, 1 - least * (len(sizes) - 1) / others))

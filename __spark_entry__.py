@@ -293,6 +293,13 @@ def kmeans_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clusters.assign(_points(spark, sf_dir), POINT_CENTRES).select("tag", "config", "center")
 
 
+def kmeans_assign_many(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third point is a centre of its own number."""
+    points = _points(spark, sf_dir)
+    chosen = points.selectExpr("1 AS config", "CAST(substr(tag, 2) AS INT) AS center", "avg_minutes", "popularity").where("center % 3 = 0")
+    return clusters.assign(points, chosen).select("tag", "config", "center")
+
+
 def kmeans_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(clusters.update(clusters.assign(_points(spark, sf_dir), POINT_CENTRES)))
 
@@ -436,6 +443,7 @@ def _post_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "point_normalise": point_normalise,
         "point_distance": point_distance,
         "kmeans_assign": kmeans_assign,
+        "kmeans_assign_many": kmeans_assign_many,
         "kmeans_update": kmeans_update,
         "kmeans_update_normalised": kmeans_update_normalised,
         "kmeans_step": kmeans_step,
@@ -598,6 +606,7 @@ def _post_sql() -> dict[str, str]:
             extra=oracles.lloyd_loop(points, POINT_CENTRES),
         ),
         "kmeans_loop": loop(points, POINT_CENTRES),
+        "kmeans_assign_many": sql("SELECT tag, config, center FROM met", extra=oracles.many_centres(points)),
         "kmeans_resumed": loop(points, POINT_CENTRES),
         "kmeans_multi_config": sql(
             f"SELECT {rounded}, rest AS at_rest FROM passes WHERE pass = (SELECT max(pass) FROM passes)",

@@ -1,8 +1,9 @@
 """k-means over points (avg_minutes, popularity), several configurations in one pass.
 
-A configuration is a set of starting centres. The centres are few and sit in
+A configuration is a set of starting centres. As long as they are few, the centres sit in
 the plan as literals, so assigning a point needs no join; a pass shuffles one
-row per centre and task, and returns one row per centre to the driver.
+row per centre and task, and returns one row per centre to the driver. Over
+``MOST_IN_PLAN`` centres are a table that the points meet through grid cells.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from pyspark.sql import functions as F
 from forumlens.functions import distance, normalise_minutes, round_half_even
 from forumlens.functions.points import TIME_NORMALISER
 from forumlens.operators.joins import complete_features
+from forumlens.operators.nearest import nearest
 from forumlens.session import keep, written
 
+#: Centres that are written into the plan; more are a table.
+MOST_IN_PLAN = 100
 # Means of the raw coordinates, compared after normalising them
 RAW = "raw"
 # Means of the normalised coordinates
@@ -106,9 +110,12 @@ def assign(points: DataFrame, centres: DataFrame | Iterable, space: str = RAW) -
     Points with a column ``config`` belong to that configuration only, as when
     each configuration has an input of its own; others take part in all.
     """
+    listed = as_centres(centres)
     by_config: dict[int, list[Centre]] = {}
-    for c in as_centres(centres):
+    for c in listed:
         by_config.setdefault(c.config, []).append(c)
+    if len(listed) > MOST_IN_PLAN:
+        return _assign_many(points, listed, space)
     found = {
         config: f"named_struct('config', {config}, 'nearest', {_nearest(group, space)})"
         for config, group in by_config.items()
@@ -123,6 +130,23 @@ def assign(points: DataFrame, centres: DataFrame | Iterable, space: str = RAW) -
     return rows.select(*rest, "config", "nearest.*")
 
 
+def _assign_many(points: DataFrame, centres: list[Centre], space: str) -> DataFrame:
+    """The same with the centres as a table; see ``nearest``."""
+    spark = points.sparkSession
+    x, y = _xy("avg_minutes", "popularity", space)
+    schema = "config int, center int, avg_minutes double, popularity double"
+    table = spark.createDataFrame([tuple(c) for c in centres], schema).selectExpr("config", "center", f"{x} AS old_x", f"{y} AS old_y")
+    configs = sorted({c.config for c in centres})
+    if "config" not in points.columns:
+        points = points.withColumn("config", F.explode(F.lit(configs)))
+    found = nearest(points, keep(table, "centres"))
+    rest = [c for c in points.columns if c != "config"]
+    joined = points.join(found.withColumnsRenamed({"x": "found_x", "y": "found_y", "config": "found_config"}), [
+        F.col("config") == F.col("found_config"), F.col("x") == F.col("found_x"), F.col("y") == F.col("found_y")
+    ])
+    return joined.select(*rest, "config", "distance", "center", "old_x", "old_y")
+
+
 def update(assigned: DataFrame, space: str = RAW) -> DataFrame:
     """New centres: the mean point of each cluster, its size, and how far it moved."""
     first, second = ("avg_minutes", "popularity") if space == RAW else ("x", "y")

@@ -213,6 +213,13 @@ def _scaled(table: str, divide: bool = True) -> str:
     return f"SELECT config, center, {_x(table, divide)} AS cx, {_y(table)} AS cy FROM {table}"
 
 
+def many_centres(points: str) -> str:
+    """CTE ``met``: the points with the nearest of those that are centres too, all of them tried."""
+    return f"""xy AS (SELECT p.*, {_x('p')} AS x, {_y('p')} AS y FROM {points} p),
+chosen AS (SELECT 1 AS config, CAST(substr(tag, 2) AS INT) AS center, x AS cx, y AS cy FROM xy WHERE CAST(substr(tag, 2) AS INT) % 3 = 0),
+met AS ({_assigned('xy', 'chosen')})"""
+
+
 def lloyd_steps(points: str, centres, steps: int, own_config: bool = False, normalised: bool = False) -> str:
     """CTEs ``xy`` (points), ``s1`` ... ``s<steps>`` (new centres) and ``a1`` ... (assignments)."""
     ctes = [f"xy AS (SELECT p.*, {_x('p')} AS x, {_y('p')} AS y FROM {points} p)", f"s0 AS ({_values(centres)})"]

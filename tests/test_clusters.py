@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -174,3 +175,35 @@ def test_a_stopped_run_goes_on_after_its_last_whole_pass(spark, monkeypatch):
     assert clusters.kmeans(points, start, output=output).centres == whole.centres
     with pytest.raises(ValueError):
         clusters.kmeans(points, start[:2], output=output)
+
+
+def test_thousands_of_centres(spark):
+    """Dense and lonely ones, copies, and points far from all; equal to trying every centre."""
+    rng = np.random.default_rng(8)
+    n = 5_000
+    cx, cy = np.round(rng.normal(0, 0.3, n), 2), np.round(np.abs(rng.normal(0, 40, n)), 2)
+    cy[:50], cx[50:60] = 100_000 + np.arange(50) * 7, 900.0
+    centres = [(1 + i % 2, i, float(x * TIME_NORMALISER), float(y)) for i, (x, y) in enumerate(zip(cx, cy))]
+    px, py = np.round(rng.normal(0, 0.5, 500), 2), np.round(np.abs(rng.normal(0, 60, 500)), 2)
+    px[:20], py[20:40] = -5_000.0, 1e6
+    points = frame(spark, [(f"t{i}", float(x * TIME_NORMALISER), float(y)) for i, (x, y) in enumerate(zip(px, py))])
+    found = {(r.tag, r.config): (r.center, r.distance) for r in clusters.assign(points, centres).collect()}
+    assert len(found) == 1_000
+    of = np.arange(n)
+    for i in range(500):
+        apart = np.sqrt((px[i] - cx) ** 2 + (py[i] - cy) ** 2)
+        for config in (1, 2):
+            own = of[of % 2 == config - 1]
+            center, d = found[(f"t{i}", config)]
+            assert d == pytest.approx(apart[own].min(), rel=1e-12, abs=1e-12)
+            assert apart[center] <= apart[own].min() * (1 + 1e-12) and center % 2 == config - 1
+    # Configurations of their own, and the same from literals
+    own = points.withColumn("config", F.lit(2))
+    few = [c for c in centres if c[1] < 150]
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(clusters, "MOST_IN_PLAN", 10_000)
+        for some in (points, own):
+            literal = sorted(map(str, clusters.assign(some, few).collect()))
+            m.setattr(clusters, "MOST_IN_PLAN", 100)
+            assert sorted(map(str, clusters.assign(some, few).collect())) == literal
+            m.setattr(clusters, "MOST_IN_PLAN", 10_000)

@@ -37,6 +37,14 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(app)
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, or what it is with so many ``_`` behind that no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -1,9 +1,10 @@
 """Benchmark passages in documents, with SQL functions only.
 
 A document is read through windows that have as many words as an item. Windows are
-laid where a five-word shingle of the benchmark occurs, so that it has the same
-place in the window as in the item; a window that shares no shingle with an item
-has similarity 0. Each window and item gets a SimHash of its shingles. The 64 bits
+laid so that they end in a five-word shingle of the benchmark: if the last shingle of
+a window is none, the window one word before is as similar or more, so the first of the
+best windows is always among these, or starts the document. Windows with fewer
+shingles of the benchmark than the similarity takes are left out. Each window and item gets a SimHash of its shingles. The 64 bits
 fall into 8 blocks; fingerprints within 23 bits agree in some block up to two bits,
 so joining a window's blocks with all values within two bits of an item's finds
 every such pair. Pairs within the radius are verified by the exact weighted
@@ -17,7 +18,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import let, words
+from forumlens.llm.common import let, spare, words
 from forumlens.session import keep
 
 SHINGLE = 5
@@ -84,24 +85,38 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     document is looked at.
     """
     items = keep(_items(benchmark).dropDuplicates(["item_id", "n", "shingles"]), "benchmark-items")
-    anchors = items.select("n", F.posexplode("shingles").alias("place", "h")).groupBy("h").agg(
-        F.collect_set(F.struct("n", "place")).alias("places")
-    )
-    # How often a shingle stands in items of one length at one place does not matter
+    anchors = items.select("n", F.explode("shingles").alias("h")).groupBy("h").agg(F.collect_set("n").alias("lengths"))
     anchors = keep(anchors, "benchmark-shingles")
     if anchors.count() <= BROADCAST_SHINGLES:
         anchors = F.broadcast(anchors)
-    texts = docs.select("doc_id", words(F.lower("text")).alias("w"))
-    texts = texts.select("doc_id", "w", F.size("w").alias("n_doc"), _shingles(F.col("w")).alias("grams")).drop("w")
-    met = texts.select("doc_id", "n_doc", "grams", F.posexplode_outer("grams").alias("at", "gram")).join(anchors, F.col("gram") == F.col("h"))
-    # A window starts where the item would; it does not leave the document
-    opened = met.select("doc_id", "n_doc", "grams", "at", F.explode("places").alias("p"))
-    start = F.greatest(F.lit(0), F.least(F.col("at") - F.col("p.place"), F.col("n_doc") - F.col("p.n")))
-    windows = opened.select("doc_id", "grams", F.col("p.n").alias("n"), start.alias("word"))
-    cut = F.slice("grams", F.col("word") + 1, F.col("n") - (SHINGLE - 1))
-    windows = windows.select("doc_id", "n", "word", cut.alias("seen"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
+    grams = texts.select("doc_id", "version", _shingles(words(F.lower("text"))).alias("grams"))
+    grams = grams.select("doc_id", "version", F.size("grams").alias("n_grams"), F.posexplode_outer("grams").alias("at", "gram"))
+    met = grams.join(anchors, F.col("gram") == F.col("h")).select("doc_id", "version", "n_grams", "at", F.explode("lengths").alias("n"))
+    spots = met.groupBy("doc_id", "version", "n_grams", "n").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    size = F.col("n") - (SHINGLE - 1)
+    # x common shingles of two sets of a and b give x / (a + b - x)
+    least = F.ceil(similarity * (F.least(F.col("n_grams"), size) + size) / (1 + similarity) - 1e-6).cast("int")
+    spots = spots.withColumns({"size": size, "least": F.greatest(F.lit(1), least)})
+    enough = F.filter("ats", lambda at, i: (i + 1 >= F.col("least")) & (F.get("ats", i + 1 - F.col("least")) > at - F.col("size")))
+    words_ = F.array_distinct(F.transform(enough, lambda at: F.greatest(F.lit(0), at + 1 - F.col("size"))))
+    spots = spots.select("doc_id", "version", F.struct("size", words_.alias("words")).alias("spot")).where(F.size("spot.words") > 0)
+    spots = spots.groupBy(F.col("doc_id").alias("doc_id2"), F.col("version").alias("version2")).agg(F.collect_list("spot").alias("spots"))
+    spots = keep(spots, "window-places")
+    laid = texts.join(spots, F.col("doc_id").eqNullSafe(F.col("doc_id2")) & (F.col("version") == F.col("version2")))
+
+    def cut(bound: Column) -> Column:
+        """``n, word, seen`` of the windows of a document whose shingles are ``bound``."""
+
+        def of(p: Column) -> Column:
+            one = lambda w: F.struct((p["size"] + (SHINGLE - 1)).alias("n"), w.alias("word"), F.slice(bound, w + 1, p["size"]).alias("seen"))
+            return F.transform(p["words"], one)
+
+        return F.flatten(F.transform("spots", of))
+
+    windows = laid.select("doc_id", F.explode(let(_shingles(words(F.lower("text"))), cut)).alias("p"))
     # Equal windows of a document need one look; copies of it have the same ones
-    windows = windows.groupBy("doc_id", "n", "seen").agg(F.min("word").alias("word"))
+    windows = windows.groupBy("doc_id", F.col("p.n").alias("n"), F.col("p.seen").alias("seen")).agg(F.min("p.word").alias("word"))
     # Written with its fingerprint, which the join would compute anew for every pair
     windows = keep(windows.withColumn("fp2", _simhash(F.col("seen"))), "windows")
     number = F.sequence(F.lit(0), F.lit(BLOCKS - 1))
@@ -125,5 +140,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` in which no item is found, with all their columns."""
-    leaks = find_leaks(docs, benchmark, similarity).select(F.col("doc_id").alias("_leak_doc_id")).distinct()
-    return docs.join(keep(leaks, "leaks"), F.col("doc_id").eqNullSafe(F.col("_leak_doc_id")), "left_anti")
+    leak = spare(docs, "_leak_doc_id")
+    leaks = find_leaks(docs, benchmark, similarity).select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(keep(leaks, "leaks"), F.col("doc_id").eqNullSafe(F.col(leak)), "left_anti")

@@ -199,7 +199,7 @@ SELECT * EXCLUDE (lost), n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS
 
 
 def _leaks_sql() -> str:
-    """All aligned windows of all items, compared shingle by shingle."""
+    """All windows with a shingle of an item, compared shingle by shingle."""
     return rf"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM documents),
 ds AS (SELECT doc_id, len(w) AS nd, i AS pos, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS h
@@ -207,7 +207,8 @@ ds AS (SELECT doc_id, len(w) AS nd, i AS pos, array_to_string(list_slice(w, i +
 b AS (SELECT item_id, regexp_extract_all(lower(text), '{WORD}') AS w FROM benchmark),
 bs AS (SELECT item_id, len(w) AS n, i AS place, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS h
   FROM (SELECT item_id, w, unnest(range(len(w) - 4)) AS i FROM b)),
-windows AS (SELECT DISTINCT doc_id, item_id, n, greatest(0, least(pos - place, nd - n)) AS word FROM ds JOIN bs USING (h)),
+met AS (SELECT DISTINCT doc_id, item_id, n, nd, pos FROM ds JOIN bs USING (h)),
+windows AS (SELECT DISTINCT doc_id, item_id, n, unnest(range(greatest(0, pos - n + 5), least(pos, greatest(0, nd - n)) + 1)) AS word FROM met),
 seen AS (SELECT doc_id, item_id, word, ds.h, count(*) AS c FROM windows JOIN ds USING (doc_id)
   WHERE pos BETWEEN word AND word + n - 5 GROUP BY ALL),
 item AS (SELECT item_id, h, count(*) AS c FROM bs GROUP BY ALL),

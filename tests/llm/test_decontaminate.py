@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import duckdb
@@ -18,7 +19,7 @@ def make_items(spark):
 
 
 def plain_leaks(docs, items, least=0.8):
-    """Every window of an item's length that shares a shingle in place, compared with Counters."""
+    """Every window of an item's length, compared with Counters."""
     found = {}
     five = lambda w: [tuple(w[i : i + 5]) for i in range(len(w) - 4)]
     for item, item_text in items:
@@ -27,16 +28,13 @@ def plain_leaks(docs, items, least=0.8):
         for doc, text in docs:
             w = (text or "").lower().split()
             grams = five(w)
-            for at, gram in enumerate(grams):
-                for place, other in enumerate(five(iw)):
-                    if gram == other:
-                        start = max(0, min(at - place, len(w) - len(iw)))
-                        seen = Counter(grams[start : start + len(iw) - 4])
-                        common = sum((seen & wanted).values())
-                        s = common / (sum(seen.values()) + sum(wanted.values()) - common)
-                        if s >= least:
-                            key = (doc, item)
-                            found[key] = max(found.get(key, (0, 0)), (s, -start))
+            for start in range(max(0, len(w) - len(iw)) + 1):
+                seen = Counter(grams[start : start + max(0, len(iw) - 4)])
+                common = sum((seen & wanted).values())
+                s = common / ((sum(seen.values()) + sum(wanted.values()) - common) or 1)
+                if s >= least:
+                    key = (doc, item)
+                    found[key] = max(found.get(key, (0, 0)), (s, -start))
     return {(d, i, round(s, 6), -b) for (d, i), (s, b) in found.items()}
 
 
@@ -73,7 +71,7 @@ def test_altered_and_odd_rows(make_docs, make_items, monkeypatch):
         (12, "filler " * 50_000 + ITEM),
     ]
     items = [(1, ITEM), (2, "one two three four five six one two three four five six one two three"), (2, None), (3, ""), (4, "too short item"), (5, ITEM), (5, ITEM)]
-    docs = make_docs(*texts).withColumn("n", F.lit(1)).withColumn("grams", F.lit("x")).withColumn("item_id", F.lit(1))
+    docs = make_docs(*texts).withColumn("n", F.lit(1)).withColumn("grams", F.lit("x")).withColumn("item_id", F.lit(1)).withColumn("_leak_doc_id", F.lit(1))
     want = plain_leaks([t for t in texts if t[0] != 12], items) | {(12, i, 1.0, 50_000) for i in (1, 5)}
     assert leaks(docs, make_items(*items)) == want
     assert {d for d, *_ in want} >= {1, 2, 5, 11, 12, None} and not {d for d, *_ in want} & {6, 7, 8, 9, 10}
@@ -85,6 +83,30 @@ def test_altered_and_odd_rows(make_docs, make_items, monkeypatch):
     assert leaks(docs, make_items(*items)) == want
 
 
+def test_shifted_by_insertions(make_docs, make_items, monkeypatch):
+    """The best window need not lie as the item does at any shingle that both have."""
+    draw = random.Random(5)
+    item = [f"w{i}" for i in range(400)]
+    texts = []
+    for n in range(6):
+        w = list(item)
+        for p in [*range(0, 3), *range(397, 400)]:
+            w[p] = f"x{p}"
+        at = draw.randint(100, 300)
+        w[at:at] = [f"new{i}" for i in range(10 * n)]
+        front = " ".join(f"own{i}" for i in range(draw.randint(0, 40)))
+        texts.append((n, f"{front} {' '.join(w)} and some more words behind it"))
+    # Words that repeat, so that shingles have several places
+    few = [(i, " ".join(draw.choices("ab", k=draw.randint(5, 60)))) for i in range(40)]
+    items = [(1, " ".join(item)), (2, "a b a b a a b b a b a b"), (3, "a a a a a a a")]
+    want = plain_leaks(texts + [(100 + i, t) for i, t in few], items)
+    docs = make_docs(*texts, *[(100 + i, t) for i, t in few])
+    assert leaks(docs, make_items(*items)) == want
+    assert len([1 for d, i, *_ in want if i == 1]) > 2
+    monkeypatch.setattr(decontaminate, "BROADCAST_SHINGLES", 0)
+    assert leaks(docs, make_items(*items)) == want
+
+
 def test_no_rows(make_docs, make_items):
     docs, items = make_docs((1, ITEM)), make_items((1, ITEM))
     assert leaks(docs.where("false"), items) == set()

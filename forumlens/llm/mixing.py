@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from forumlens.llm.common import n_words
+from forumlens.llm.common import n_words, spare
 from forumlens.session import keep
 
 MAX_COPIES = 3
@@ -64,12 +64,16 @@ def mix(
     takes the document, at most ``max_copies`` times. With ``preference``, a
     column of positive numbers, documents are expected in proportion to it
     (null: 1); without, all documents of a source alike. Random numbers come
-    from the ids, so reruns agree; equal rows tie, and either of two may be
-    taken. Columns of ``docs`` with one of the four names are replaced. An empty
+    from the ids, so reruns agree; rows with equal ids go by
+    their texts, and of equal rows either may be taken. Columns of ``docs`` with one of the four names are replaced. An empty
     table gives an empty result, and a source without words takes no copies.
     """
     likes = F.coalesce(F.col(preference).cast("double"), F.lit(1.0)) if preference else F.lit(1.0)
-    rows = docs.drop("size", "source_size", "target", "copies").withColumn("size", n_words(F.col("text")).cast("long"))
+    rows = docs.drop("size", "source_size", "target", "copies")
+    given = rows.columns
+    # Names of other columns cannot meet those used here
+    inner = [c if c in ("doc_id", "source", "text", preference) else f"_own_{i}" for i, c in enumerate(given)]
+    rows = rows.toDF(*inner).withColumn("size", n_words(F.col("text")).cast("long"))
     own = rows.columns
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(likes * F.col("size")).alias("_mix_liked"))
     # A row per source; its size on disk tells Spark whether it can be broadcast
@@ -117,15 +121,20 @@ def mix(
     at_cut = F.col("_mix_bucket").isNotNull() & (F.col("_mix_bucket") == F.col("_mix_cut"))
     front = F.when(F.col("_mix_bucket") < F.col("_mix_cut"), 1).otherwise(0)
     clear = placed.where(~at_cut).select(*columns, (F.col("_mix_sure") + front).alias("copies"))
-    in_order = Window.partitionBy("_mix_source").orderBy("_mix_rank", "doc_id", "size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    # Numbered and written, so that only numbers and sizes are put in order; equal ids by text
+    near = keep(placed.where(at_cut).withColumn("_mix_row", F.monotonically_increasing_id()), "mix-bucket")
+    order = near.select("_mix_row", "_mix_source", "_mix_rank", "doc_id", "size", "_mix_start", F.xxhash64("text").alias("version"))
+    in_order = Window.partitionBy("_mix_source").orderBy("_mix_rank", "doc_id", "size", "version", "_mix_row")
     # Taken if the words up to its middle are lacking: the total comes nearest to the target
-    middle = F.col("_mix_start") + F.sum("size").over(in_order) - F.col("size") / 2
-    near = placed.where(at_cut).withColumn("_mix_middle", middle)
+    middle = F.col("_mix_start") + F.sum("size").over(in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size") / 2
+    middles = order.select(F.col("_mix_row").alias("_mix_row2"), middle.alias("_mix_middle"))
+    near = near.join(middles, F.col("_mix_row") == F.col("_mix_row2"))
     near = near.select(*columns, (F.col("_mix_sure") + F.when(F.col("_mix_middle") <= F.col("_mix_lack"), 1).otherwise(0)).alias("copies"))
-    return clear.unionByName(near).withColumn("copies", F.col("copies").cast("int"))
+    return clear.unionByName(near).withColumn("copies", F.col("copies").cast("int")).toDF(*given, "size", "source_size", "target", "copies")
 
 
 def repeated(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each document as often as ``copies`` says, with ``columns``."""
     times = F.array_repeat(F.lit(0), F.col("copies"))
-    return mixed.where("copies > 0").select(*columns, F.explode(times).alias("_mix_copy")).drop("_mix_copy")
+    copy = spare(mixed, "_mix_copy")
+    return mixed.where("copies > 0").select(*columns, F.explode(times).alias(copy)).drop(copy)

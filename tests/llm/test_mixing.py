@@ -95,3 +95,17 @@ def test_a_hot_source(spark):
     )
     found = mixing.mix(docs).groupBy("source").agg(F.sum(F.col("size") * F.col("copies")).alias("taken"), F.first("target").alias("target")).collect()
     assert all(abs(r.taken - r.target) <= 3 for r in found)
+
+
+def test_clashing_names_and_equal_ids(make_docs):
+    """Other columns keep their names and values; of rows with one id the text decides which is taken."""
+    rows = [(i % 7, f"{'word ' * (i % 5 + 1)}{i}") for i in range(200)]
+    docs = make_docs(*rows).withColumns({n: F.col("doc_id") for n in ("_mix_source", "_mix_row", "version", "words", "_own_1")})
+    runs = []
+    for parts in (1, 5):
+        mixed = mixing.mix(docs.repartition(parts))
+        assert mixed.columns == [*docs.columns, "size", "source_size", "target", "copies"]
+        got = mixed.collect()
+        assert len(got) == 200 and all(r._mix_source == r._own_1 == r.version == r.doc_id for r in got)
+        runs.append(sorted((r.doc_id, r.text, r.copies) for r in got))
+    assert runs[0] == runs[1]

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from forumlens.llm import golay
 from forumlens.llm.components import components
+from forumlens.llm.common import spare
 from forumlens.session import keep
 
 BITS = 64
@@ -259,13 +260,14 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     The row with the group's smallest doc_id stays, among rows that repeat that id
     one with the smallest hash of its text; of rows equal in both, one.
     """
+    ident, version, once_ = (spare(docs, f"_dup_{n}") for n in ("id", "version", "once"))
     light = found.groupBy("doc_id", "version").agg(F.count("*").alias("_dup_n"), F.min("least").alias("_dup_least"))
     stays = F.col("doc_id").eqNullSafe(F.col("_dup_least.doc_id")) & (F.col("version") == F.col("_dup_least.version"))
-    listed = light.where(~stays | (F.col("_dup_n") > 1)).select(F.col("doc_id").alias("_dup_id"), F.col("version").alias("_dup_version"), stays.alias("_dup_once"))
+    listed = light.where(~stays | (F.col("_dup_n") > 1)).select(F.col("doc_id").alias(ident), F.col("version").alias(version), stays.alias(once_))
     listed = keep(listed, "near-duplicates")
-    same = F.col("doc_id").eqNullSafe(F.col("_dup_id")) & (F.xxhash64("text") == F.col("_dup_version"))
+    same = F.col("doc_id").eqNullSafe(F.col(ident)) & (F.xxhash64("text") == F.col(version))
     # The list grows with the documents, so it is never broadcast: the same plan at every size
     joined = docs.join(listed.hint("merge"), same, "left")
-    single = joined.where("_dup_version is null").select(*docs.columns)
-    once = joined.where("_dup_once").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    single = joined.where(F.col(version).isNull()).select(*docs.columns)
+    once = joined.where(F.col(once_)).dropDuplicates(["doc_id", "text"]).select(*docs.columns)
     return single.unionByName(once)

@@ -96,16 +96,16 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     loaded: OrderedDict[str, list[bool]] = OrderedDict()
     known: OrderedDict[tuple[str, str], list[bool]] = OrderedDict()
 
-    def flags(page: wr.Page, nodes: list[wr.Node], wrapper: str | None, count: int | None) -> list[bool]:
+    def flags(page: wr.Page, nodes: list[wr.Node], wrapper: str | None) -> list[bool]:
         """Per text of the page whether it is content."""
         level = [0] * len(page.texts)
-        for slot, where in wr.levels(nodes):
+        for slot, where in wr.levels(nodes, [len(t) for t in page.texts]):
             for p in slot.places:
                 level[p] = where
         best = max(level)
         if wrapper:
             if wrapper not in loaded:
-                loaded[wrapper] = wr.template_slots(wr.load(wrapper), count or 1)
+                loaded[wrapper] = wr.template_slots(wr.load(wrapper))
                 if len(loaded) > REMEMBERED:
                     loaded.popitem(last=False)
             pairs = wr.flags_of(nodes, wr.load(wrapper), loaded[wrapper], [False] * len(wr.slots(nodes)))
@@ -127,7 +127,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         names = batch.schema.names
-        html, wrapper, count = (batch.column(names.index(c)) for c in ("html", "_wrapper", "_pages"))
+        html, wrapper = (batch.column(names.index(c)) for c in ("html", "_wrapper"))
         texts = []
         for i in range(batch.num_rows):
             page = wr.read_page(html[i].as_py())
@@ -135,17 +135,17 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 texts.append("")
                 continue
             text = wrapper[i].as_py()
-            # Equal streams of a host have equal flags, unless links decide
-            key = (text or "", " ".join(page.symbols)) if not any(page.linked) else None
+            # Equal streams of a host have equal flags, unless links or lengths decide
+            key = (text or "", " ".join(page.symbols)) if not any(page.linked) and not any(s == "form" or s.startswith("form ") for s in page.symbols) else None
             take = known.get(key) if key else None
             if take is None:
-                take = flags(page, wr.page_nodes(page), text, count[i].as_py())
+                take = flags(page, wr.page_nodes(page), text)
                 if key:
                     known[key] = take
                     if len(known) > REMEMBERED:
                         known.popitem(last=False)
             texts.append("\n".join(t for t, f in zip(page.texts, take, strict=True) if f))
-        kept = [c for c in names if c not in ("html", "_wrapper", "_pages")]
+        kept = [c for c in names if c not in ("html", "_wrapper")]
         yield pa.RecordBatch.from_arrays([*[batch.column(names.index(c)) for c in kept], pa.array(texts, pa.string())], [*kept, "text"])
 
 
@@ -156,8 +156,8 @@ def extract(pages: DataFrame) -> DataFrame:
     without main text, gives an empty text; a page whose url has no host shares
     the wrapper of all such pages. Pages that repeat are rows of their own.
     """
-    inferred = keep(infer(pages), "wrappers").select(F.col("host").alias("_host2"), F.col("wrapper").alias("_wrapper"), F.col("pages").alias("_pages"))
+    inferred = keep(infer(pages), "wrappers").select(F.col("host").alias("_host2"), F.col("wrapper").alias("_wrapper"))
     rows = pages.select("page_id", "url", "html").withColumn("_host", host(F.col("url")))
-    joined = rows.join(inferred, F.col("_host") == F.col("_host2"), "left").select("page_id", "url", "html", "_wrapper", "_pages")
+    joined = rows.join(inferred, F.col("_host") == F.col("_host2"), "left").select("page_id", "url", "html", "_wrapper")
     kind = pages.schema["page_id"].dataType.simpleString()
     return joined.mapInArrow(_texts, f"page_id {kind}, url string, text string")

@@ -18,10 +18,10 @@ from html import unescape
 
 #: The longest run of tokens looked for as the body of a repeated group.
 LONGEST_GROUP = 24
-#: From so many pages on, text that is the same on all of them belongs to the template; inside content elements
-#: the pages must be at least this share of the host's, as copies of one page have equal text too.
+#: From so many pages on, text that is the same on all of them belongs to the template, unless it stands in content elements.
 TEMPLATE_PAGES = 3
-TEMPLATE_SHARE = 0.5
+#: A page with more different symbols has its runs found by folding alone.
+LETTERS = 1_000_000
 
 # Elements by their role in HTML
 INLINE = frozenset(
@@ -45,17 +45,22 @@ BOILERPLATE_WORDS = frozenset(
     " sidebar aside footer masthead cookie cookies consent notice notices alert popup modal newsletter subscribe signup share sharing social"
     " related recommended comment comments disqus reply replies respond login toolbar pagination pager widget skip".split()
 )
+#: A class such as no-sidebar or has-banner tells of the page, not of what the element is.
+QUALIFIERS = frozenset("no not has have with without is hide show".split())
 CONTENT_WORDS = frozenset("article content entry main post story".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<(?:svg|math)(?:\s[^>]*)?/>"
     r"|<(script|style|noscript|template|textarea|title|svg|math|iframe|select)\b.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
+    # Quotes count only where a value begins
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[\s/]++|[^\s/>=]++(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|[^\s>\"'][^\s>]*+)?+)?+|=)*+)>"
     r"|<[!?/a-zA-Z][^>]*(?:>|\Z)"
     r"|[^<]+|<",
     re.S | re.I,
 )
-_NAMED = re.compile(r"\b(class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s/>=]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))|[^\s/>=]+")
+_NAMING = frozenset("class id role itemprop".split())
 
 
 @dataclass
@@ -120,8 +125,11 @@ def read_page(html: str | None) -> Page:
             open_.append(name)
         named = []
         if m[4]:
-            for a in _NAMED.finditer(m[4]):
-                named += re.findall(r"[a-z]+", (a[2] or a[3] or a[4] or "").lower())
+            for a in _ATTRIBUTE.finditer(m[4]):
+                if a[1] and a[1].lower() in _NAMING:
+                    for token in (a[2] or a[3] or a[4] or "").lower().split():
+                        words = re.findall(r"[a-z]+", token)
+                        named += ["-".join(words)] if words and words[0] in QUALIFIERS else words
         page.symbols.append(" ".join([name, *sorted(set(named))]))
     end_text()
     return page
@@ -201,7 +209,7 @@ _RUN = re.compile(r"(.{1,%d}?)\1+" % LONGEST_GROUP, re.S)
 def page_nodes(page: Page) -> list[Node]:
     """A page as an expression of its own."""
     letters: dict[str, str] = {}
-    stream = "".join([letters.setdefault(s, chr(0xE000 + len(letters)) if len(letters) < 6000 else chr(0xF0000 + len(letters))) for s in page.symbols])
+    stream = "".join([letters.setdefault(s, chr(0x10000 + len(letters) % LETTERS)) for s in page.symbols])
     hashes = [zlib.crc32(t.encode("utf-8", "replace")) for t in page.texts]
     nodes: list[Node] = []
     done = place = 0
@@ -220,7 +228,7 @@ def page_nodes(page: Page) -> list[Node]:
                 out.append(Node("t", symbol))
         place += width * (times - 1)
 
-    for run in _RUN.finditer(stream):
+    for run in _RUN.finditer(stream) if len(letters) <= LETTERS else ():
         add(page.symbols[done : run.start()], 1, nodes)
         body: list[Node] = []
         length = len(run[1])
@@ -285,30 +293,55 @@ def flags_of(page: list[Node], wrapper: list[Node], content: list[bool], own: li
     return [(s, flags.get(id(s), False)) for s in slots(p)]
 
 
-def levels(nodes: list[Node]) -> list[tuple[Node, int]]:
+def levels(nodes: list[Node], lengths: list[int] | None = None) -> list[tuple[Node, int]]:
     """The text slots and where they stand.
 
     0 is boilerplate by tag or name of an element around it (headers only outside
-    articles and main elements), 1 the body, 2 an element named as content, 3 the
-    main element, 4 an article. The names of html, body and of the outermost main
-    elements and articles tell of the page, not of boilerplate.
+    articles and main elements), 1 the body, 2 an element named as content, 3 one
+    named as the main one, 4 the main element, or an article of a page without one.
+    The names of html, body and of the outermost main elements and articles tell
+    of the page, not of boilerplate. A form with over half of the text, by the
+    ``lengths`` of the texts, is the page and no form.
     """
     found: list[tuple[Node, int]] = []
+    has_main = False
+    sizes: dict[int, int] = {}
+    total = sum(lengths or ())
+
+    def survey(parts: list[Node], open_forms: list[int]) -> None:
+        nonlocal has_main
+        for n in parts:
+            if n.kind == "#":
+                for form in open_forms:
+                    sizes[form] += sum(lengths[p] for p in n.places) if lengths else 0
+            elif n.nodes:
+                survey(n.nodes, open_forms)
+            elif n.key == "/form":
+                del open_forms[-1:]
+            elif n.key.startswith(("form", "main")):
+                name = n.key.split(" ", 1)[0]
+                has_main = has_main or name == "main"
+                if name == "form":
+                    sizes[id(n)] = 0
+                    open_forms.append(id(n))
+
+    survey(nodes, [])
     stack: list[tuple[str, frozenset[str]]] = []
 
     def level() -> int:
-        best = 1
+        best, inside = 1, False
         for name, words in stack:
             outer = name in ("html", "body") or (best < 3 and name in ("main", "article"))
             if name in BOILERPLATE_TAGS or (words & BOILERPLATE_WORDS and not outer):
                 return 0
             if best < 3 and (name == "header" or ("header" in words and not outer)):
                 return 0
-            if name == "article" or "articlebody" in words:
+            inside = inside or name == "main"
+            if name == "main" or ((name == "article" or "articlebody" in words) and (inside or not has_main)):
                 best = 4
-            elif name == "main" or ("main" in words and name != "body"):
+            elif "main" in words and name != "body" and not has_main:
                 best = max(best, 3)
-            elif words & CONTENT_WORDS and name not in ("body", "html"):
+            elif (words & CONTENT_WORDS or name == "article") and name not in ("body", "html"):
                 best = max(best, 2)
         return best
 
@@ -319,27 +352,28 @@ def levels(nodes: list[Node]) -> list[tuple[Node, int]]:
             elif n.nodes:
                 walk(n.nodes)
             elif n.key[0] == "/":
-                if n.key[1:] in [s[0] for s in stack]:
-                    while stack.pop()[0] != n.key[1:]:
+                name = n.key[1:]
+                if name in [s[0].strip() for s in stack]:
+                    while stack.pop()[0].strip() != name:
                         pass
             else:
                 name, *words = n.key.split(" ")
                 while stack and name in CLOSED_BY.get(stack[-1][0], ()):
                     stack.pop()
                 if name not in VOID:
-                    stack.append((name, frozenset(words)))
+                    page = name == "form" and 2 * sizes.get(id(n), 0) > total > 0
+                    stack.append((f"{name} " if page else name, frozenset() if page else frozenset(words)))
 
     walk(nodes)
     return found
 
 
-def template_slots(nodes: list[Node], pages: int) -> list[bool]:
-    """Per slot of a wrapper of ``pages`` pages whether its text is the template's: the same on all pages that have it."""
-
-    def least(level: int) -> float:
-        return TEMPLATE_PAGES if level < 2 else max(TEMPLATE_PAGES, TEMPLATE_SHARE * pages)
+def template_slots(nodes: list[Node]) -> list[bool]:
+    """Per slot of a wrapper whether its text is the template's: the same on all pages that have it, outside content elements.
 
-    return [n.same is not None and n.seen >= least(level) for n, level in levels(nodes)]
+    Equal text inside them, such as a heading that recurs, is the pages' own.
+    """
+    return [n.same is not None and n.seen >= TEMPLATE_PAGES and level < 2 for n, level in levels(nodes)]
 
 
 def dump(nodes: list[Node]) -> str:

@@ -97,15 +97,54 @@ def test_names_of_the_outermost_elements_are_no_boilerplate(spark):
     assert extracted(spark, *[(i, "http://s.example/", page.format(i)) for i in range(3)]) == {i: f"Paid {i}" for i in range(3)}
 
 
-def test_constant_text_goes_at_every_level_but_leaves_no_page_empty(spark):
-    page = "<body><article><h1>Title {0}</h1><p>Text {0}</p><h3>Read this every day</h3></article></body>"
+def test_constant_text_goes_outside_content_elements_but_leaves_no_page_empty(spark):
+    page = "<body><div>Welcome to our site</div><p>Text {0}</p><div>Read this every day</div></body>"
     rows = [(i, "http://e.example/", page.format(i)) for i in range(4)]
-    assert extracted(spark, *rows) == {i: f"Title {i}\nText {i}" for i in range(4)}
+    assert extracted(spark, *rows) == {i: f"Text {i}" for i in range(4)}
     copies = [(i, "http://f.example/", page.format(0)) for i in range(4)]
-    assert extracted(spark, *copies) == {i: "Title 0\nText 0\nRead this every day" for i in range(4)}
+    assert extracted(spark, *copies) == {i: "Welcome to our site\nText 0\nRead this every day" for i in range(4)}
     # Text of one page alone is its own
     single = [*[(i, "http://g.example/", f"<body><p>Plain {i}</p></body>") for i in range(3)], (9, "http://g.example/", "<body><p>Plain 9</p><h2>Once</h2></body>")]
     assert extracted(spark, *single)[9] == "Plain 9\nOnce"
+    # A heading that recurs in articles is theirs on hosts of any size
+    article = "<body><article><h1>Title {0}</h1><p>Text {0}</p><h3>Read this every day</h3></article></body>"
+    for n in (2, 4, 9):
+        assert extracted(spark, *[(i, "http://h.example/", article.format(i)) for i in range(n)]) == {i: f"Title {i}\nText {i}\nRead this every day" for i in range(n)}
+
+
+PAGES = [
+    ("<div class='layout no-sidebar'><p>Body text.</p></div>", "Body text."),
+    ("<div id='page' class='has-banner'><p>Body text.</p></div>", "Body text."),
+    ("<div class='site with-nav'><article><p>Body text.</p></article></div>", "Body text."),
+    ("<div class='site-nav'><p>Home</p></div><p>Body text.</p>", "Body text."),
+    ("<form id=aspnet><p>All of the body text lies here.</p></form><p>Foot</p>", "All of the body text lies here.\nFoot"),
+    ("<p>All of the body text lies here.</p><form><p>Your mail</p></form>", "All of the body text lies here."),
+    ("<main><p>Intro</p><article><p>Story</p></article><p>Outro</p></main>", "Intro\nStory\nOutro"),
+    ("<article><p>Teaser</p></article><main><h1>Story</h1><p>Long text</p></main>", "Story\nLong text"),
+    ("<p title=it's>He said it's fine.</p><p>More 'text'.</p>", "He said it's fine.\nMore 'text'."),
+    ("<p title='a > b' data-x=\"'\">Quoted.</p>", "Quoted."),
+    ("<p title=\"class='sidebar'\">Named in a title.</p>", "Named in a title."),
+    ("<p>Before</p><svg/><p>After</p><svg width='1'><text>drawn</text></svg><p>End</p>", "Before\nAfter\nEnd"),
+    ("<p class=\"open>Text</p><p>More</p>", "Text\nMore"),
+]
+
+
+def test_layouts_that_names_or_quotes_tell_wrongly(spark):
+    rows = [(i, f"http://p{i}.example/", html) for i, (html, _) in enumerate(PAGES)]
+    assert extracted(spark, *rows) == {i: text for i, (_, text) in enumerate(PAGES)}
+
+
+def test_very_many_names(spark):
+    letters = lambda i: "".join(chr(97 + int(d)) for d in str(i))
+    page = "".join(f"<p class=x{letters(i)}>t</p>" for i in range(140_000))
+    nodes = wr.page_nodes(wr.read_page(page))
+    assert len(wr.slots(nodes)) == 140_000
+    many = wr.LETTERS
+    try:
+        wr.LETTERS = 10
+        assert wr.show(wr.page_nodes(wr.read_page(page[:2000] + "<b>x</b>" + "<i></i><hr>" * 3))).endswith("(<hr>)+")
+    finally:
+        wr.LETTERS = many
 
 
 def test_given_pages(spark, sample):

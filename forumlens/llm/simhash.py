@@ -14,7 +14,7 @@ many pairs; a key with very many fingerprints is dealt over several tasks.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -38,6 +38,8 @@ BUCKET = 4096
 #: Keys up to this size are compared pair by pair.
 FEW = 8
 _ONE = np.uint64(1)
+#: Links that connect fingerprints within a radius.
+Forest = Callable[[np.ndarray, int], np.ndarray]
 
 
 def fingerprint(text: str | None, words: int = 3) -> int:
@@ -125,7 +127,24 @@ def _forest(fps: np.ndarray, radius: int) -> np.ndarray:
     return np.concatenate(links)
 
 
-def _compare(key: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def nearest_forest(fps: np.ndarray, radius: int) -> np.ndarray:
+    """As ``_forest``, by shortest links: each tree is joined at the least distances there are."""
+    links, here = [], 0
+    left = np.arange(1, len(fps))
+    least, source = np.full(len(left), BITS + 1), np.zeros(len(left), dtype=np.int64)
+    while len(left):
+        apart = np.bitwise_count(fps[left] ^ fps[here])
+        source = np.where(apart < least, here, source)
+        least = np.minimum(apart, least)
+        at = int(np.argmin(least))
+        here = int(left[at])
+        if least[at] <= radius:
+            links.append((int(source[at]), here))
+        left, least, source = (np.delete(x, at) for x in (left, least, source))
+    return np.array(links, dtype=np.int64).reshape(-1, 2)
+
+
+def _compare(key: np.ndarray, fps: np.ndarray, radius: int, forest: Forest) -> tuple[np.ndarray, np.ndarray]:
     """Links among rows with equal keys, which lie together."""
     bits = fps.view(np.uint64)
     starts = np.concatenate([[0], np.flatnonzero(key[1:] != key[:-1]) + 1])
@@ -141,13 +160,13 @@ def _compare(key: np.ndarray, fps: np.ndarray, radius: int) -> tuple[np.ndarray,
         b.append(fps[at + step])
     for i in np.flatnonzero(sizes > FEW):
         members = np.unique(bits[starts[i] : starts[i] + sizes[i]])
-        links = _forest(members, radius)
+        links = forest(members, radius)
         a.append(members[links[:, 0]].view(np.int64))
         b.append(members[links[:, 1]].view(np.int64))
     return np.concatenate(a), np.concatenate(b)
 
 
-def _met(sorted_rows: DataFrame, radius: int, bucket: int | None) -> DataFrame:
+def _met(sorted_rows: DataFrame, radius: int, bucket: int | None, forest: Forest) -> DataFrame:
     """``put_off, a, b`` from rows (``key, fp``) whose equal keys lie together.
 
     Links of equal keys have ``put_off`` false. Without a ``bucket`` all are
@@ -164,7 +183,7 @@ def _met(sorted_rows: DataFrame, radius: int, bucket: int | None) -> DataFrame:
 
         def compared(key: np.ndarray, fps: np.ndarray) -> Iterator[pa.RecordBatch]:
             if len(key):
-                a, b = _compare(key, fps, radius)
+                a, b = _compare(key, fps, radius, forest)
                 differ = a != b
                 yield batch_of(False, np.minimum(a, b)[differ], np.maximum(a, b)[differ])
 
@@ -198,8 +217,7 @@ def linked(fps: DataFrame, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFr
     """``a, b``: links that connect all of ``fps`` (distinct ``fp``) within 3 bits.
 
     Any two fingerprints within 3 bits are connected by these links, and each
-    link is within 3 bits. A key with more than ``bucket`` fingerprints is dealt
-    out: its rows fall into chunks, and every two chunks meet in a task.
+    link is within 3 bits.
     """
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -210,8 +228,16 @@ def linked(fps: DataFrame, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFr
                 for row, key in keys(fp.view(np.uint64), blocks):
                     yield pa.RecordBatch.from_pydict({"key": key, "fp": fp[row]})
 
-    rows = fps.select("fp").mapInArrow(make, "key long, fp long")
-    first = keep(_met(rows.repartition("key").sortWithinPartitions("key"), RADIUS, bucket), "simhash-met")
+    return met(fps.select("fp").mapInArrow(make, "key long, fp long"), RADIUS, bucket, _forest)
+
+
+def met(rows: DataFrame, radius: int, bucket: int, forest: Forest) -> DataFrame:
+    """``a, b``: links within ``radius`` bits that connect the ``fp`` of each ``key`` in ``rows``.
+
+    A key with more than ``bucket`` fingerprints is dealt out: its rows fall into
+    chunks, and every two chunks meet in a task.
+    """
+    first = keep(_met(rows.repartition("key").sortWithinPartitions("key"), radius, bucket, forest), "simhash-met")
     off = first.where("put_off").select(F.col("a").alias("key"), F.col("b").alias("fp")).distinct()
     sizes = off.groupBy(F.col("key").alias("key2")).agg(F.ceil(F.count("*") / (bucket / 2)).cast("long").alias("chunks"))
     own = F.pmod(F.xxhash64("fp"), F.col("chunks"))
@@ -222,7 +248,7 @@ def linked(fps: DataFrame, blocks: int = BLOCKS, bucket: int = BUCKET) -> DataFr
         .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
         .select(F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "fp")
     )
-    second = _met(dealt.repartition("key").sortWithinPartitions("key"), RADIUS, None)
+    second = _met(dealt.repartition("key").sortWithinPartitions("key"), radius, None, forest)
     return first.where("not put_off").select("a", "b").unionByName(second.select("a", "b")).distinct()
 
 

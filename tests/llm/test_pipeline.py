@@ -10,7 +10,7 @@ import corpus_pipeline as pipeline
 from forumlens.llm import decontaminate, langid
 from forumlens.llm.queries import tokenizer_path
 
-from .test_simhash import plain_components, plain_fingerprint
+from .test_similar import plain_groups
 
 SF = "/root/testdata/sf0.001"
 
@@ -37,9 +37,13 @@ def test_language(spark, stages):
 
 def test_near_dedup(stages):
     given, kept = stages[1:3]
-    rows = [(r.doc_id, r.text) for r in given.collect()]
-    groups = plain_components([(i, plain_fingerprint(t)) for i, t in rows])
-    assert kept.columns == given.columns and sorted(r.doc_id for r in kept.collect()) == sorted(set(groups))
+    texts = {r.doc_id: r.text for r in given.collect()}
+    groups = plain_groups(texts)
+    assert kept.columns == given.columns
+    left = {r.doc_id for r in kept.collect()}
+    # Of every group its smallest stays; at most a tenth of what should go stays as well
+    assert set(groups.values()) <= left
+    assert len(left) - len(set(groups.values())) <= 0.1 * (len(texts) - len(set(groups.values())))
 
 
 def test_decontamination(spark, stages):

@@ -4,7 +4,6 @@ import random
 from itertools import combinations
 
 import numpy as np
-import pytest
 from pyspark.sql import functions as F
 
 from forumlens.llm import similar, simhash
@@ -120,10 +119,9 @@ def test_odd_rows(make_docs):
     assert similar.groups(docs.where("false")).collect() == []
 
 
-@pytest.mark.parametrize("segments", [2, 6])
-def test_more_segments_find_more(make_docs, segments):
+def test_more_segments_find_more(make_docs):
     texts = near_copies(random.Random(9), 150, 1, 0.05)
-    found = found_groups(make_docs(*texts.items()), segments=segments)
+    found = found_groups(make_docs(*texts.items()), segments=6)
     links = plain_links(texts)
     share = sum(found[a] == found[b] for a, b in links) / len(links)
-    assert share >= 0.95 if segments == 6 else share >= 0.4
+    assert share >= 0.95

@@ -125,3 +125,36 @@ def test_more_segments_find_more(make_docs):
     links = plain_links(texts)
     share = sum(found[a] == found[b] for a, b in links) / len(links)
     assert share >= 0.95
+
+
+def test_every_link_is_found(make_docs):
+    """Texts at the bound itself, of which keys of fingerprints missed some."""
+    draw = random.Random(12)
+    texts = near_copies(draw, 300, 2, 0.06)
+    words = [f"v{i}" for i in range(40)]
+    for size in (9, 14, 19, 24, 40):
+        for cut in range(3):
+            texts[len(texts)] = " ".join(words[:size] + [f"end{size}"] * 1 + words[:cut])
+    want = plain_groups(texts)
+    assert len(set(want.values())) < len(want) - 200
+    docs = make_docs(*texts.items())
+    for bucket in (4096, 4):
+        assert found_groups(docs, bucket=bucket) == want
+
+
+def test_forest_of_sets_joins_what_is_similar():
+    draw = np.random.default_rng(8)
+    base = draw.choice(10**6, 120, replace=False)
+    sets = [np.unique(np.concatenate([draw.choice(base, draw.integers(95, 121), replace=False), draw.integers(0, 10**6, draw.integers(0, 14))])) for _ in range(150)]
+    every = {(i, j) for i, j in combinations(range(150), 2) if 100 * len(np.intersect1d(sets[i], sets[j])) >= 80 * len(np.union1d(sets[i], sets[j]))}
+    links = {tuple(sorted(x)) for x in similar.similar_forest(sets).tolist()}
+
+    def joined(pairs):
+        label = list(range(150))
+        for _ in label:
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert links <= every and len(links) < 150 < len(every) and joined(links) == joined(every)
+    assert similar.similar_forest(sets[:1]).shape == (0, 2)

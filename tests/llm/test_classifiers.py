@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -161,3 +162,31 @@ def test_language_is_that_of_the_smallest_compression(spark, sample):
         assert found[i].lang_pred == min(k for k, v in sizes.items() if v == least)
         others = sum(sizes.values()) - least
         assert found[i].score == pytest.approx(max(0, 1 - least * (len(sizes) - 1) / others))
+
+
+def test_quality_learns_from_all_labels(spark, make_docs, monkeypatch):
+    """More labels than a sample of 10,000 held, and a class of few; the cut is the quantile of all strengths."""
+    docs = spark.range(24_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("plain words of "), F.col("id").cast("string"), F.repeat(F.lit("! #"), (F.col("id") % 7).cast("int"))).alias("text"))
+    labels = docs.select("doc_id", (F.col("doc_id") % 7 < 6).cast("int").alias("label"))
+    met = []
+    pairs = quality._pairs
+    monkeypatch.setattr(quality, "_pairs", lambda rows, good, bad, *rest: met.append((rows.count(), good, bad)) or pairs(rows, good, bad, *rest))
+    ranking = quality.fit(docs, labels)
+    assert met == [(24_000, 20_572, 3_428)]
+    strengths = quality.with_figures(docs).select(quality._strength(F.col("_q_figures"), ranking.weights)).toPandas().iloc[:, 0]
+    assert ranking.cut == pytest.approx(np.quantile(strengths, 3_428 / 24_000), rel=1e-9)
+    wrong = quality.scored(docs, ranking).join(labels, "doc_id").where("predicted <> label").count()
+    assert wrong <= 24
+
+
+def test_every_labelled_document_meets_another(spark):
+    for good, bad in ((30, 7), (5, 41), (1, 1), (3, 3)):
+        rows = spark.range(good + bad).select((F.col("id") < good).cast("int").alias("_q_label"), F.when(F.col("id") < good, F.col("id")).otherwise(F.col("id") - good).alias("place"))
+        rows = rows.withColumn("x", F.array(F.col("place").cast("double"), F.lit(0.0)))
+        one = np.array([1.0, 1.0])
+        times = min(good, bad, max(quality.MEETINGS, -(-40 // max(good, bad))))
+        assert quality._pairs(rows, good, bad, one, 40, 1).count() == times * max(good, bad)
+        marked = rows.withColumn("x", F.when(F.col("_q_label") == 1, F.array(F.col("place") * 1000.0, F.lit(0.0))).otherwise(F.array(-F.col("place").cast("double"), F.lit(0.0))))
+        found = [divmod(int(r.difference[0]), 1000) for r in quality._pairs(marked, good, bad, one, 40, 1).collect()]
+        assert {g for g, _ in found} == set(range(good)) and {b for _, b in found} == set(range(bad))
+        assert len(set(found)) == len(found)

@@ -9,7 +9,9 @@ Equal lines are combined where they are read, and a task holds one leaf. The lin
 of a leaf with more than a bounded number go through turns: in each, lines that share a
 piece of tokens meet, and become templates by the same rule; these are the lines of the
 next turn, and meet by another piece. When few enough are left they meet all.
-Lines of up to 28 tokens that agree in most share some piece.
+Those of leaves that are still large meet in rounds by parts of the line, as many as
+tokens may differ and one: lines that agree share a part. The rounds end when no two
+lines of such a leaf agree, so none is kept from another by the size of its leaf.
 """
 
 from __future__ import annotations
@@ -20,11 +22,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from forumlens.llm.common import let, spare
-from forumlens.session import keep
+from forumlens.session import delete, keep, new_path
 
 VARIABLE = "<*>"
 #: Leading tokens of a leaf's path.
@@ -218,15 +220,6 @@ def _merge(lines: DataFrame, turn: int | None, most: int) -> DataFrame:
     piece of it: the tokens from the turn's place on. Of a piece with more than
     ``most`` lines so many neighbours meet, in order from that place on.
     """
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, held in _groups(batches, most):
-            line, template = [], []
-            for form, own in _templates(held):
-                line += [held[i][0] for i in own]
-                template += [form] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(line, pa.string()), pa.array(template, pa.string())], ["line", "template"])
-
     if turn is None:
         ordered = lines.withColumn("home", F.col("leaf")).withColumn("turned", F.col("line"))
     else:
@@ -239,32 +232,112 @@ def _merge(lines: DataFrame, turn: int | None, most: int) -> DataFrame:
         lines = lines.withColumn("turned", F.array_join(turned, " "))
         ordered = lines.withColumn("home", F.xxhash64("leaf", F.array_join(F.slice(F.split("turned", " "), F.lit(1), piece), " ")))
     ordered = ordered.repartition("home").sortWithinPartitions("home", "leaf", "turned")
+    return _merged(lines.drop("turned"), ordered, most)
+
+
+def _merged(lines: DataFrame, ordered: DataFrame, most: int) -> DataFrame:
+    """``lines`` with ``template``, from the same lines in the order of their ``home``, where ``most`` meet."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, held in _groups(batches, most):
+            line, template = [], []
+            for form, own in _templates(held):
+                line += [held[i][0] for i in own]
+                template += [form] * len(own)
+            yield pa.RecordBatch.from_arrays([pa.array(line, pa.string()), pa.array(template, pa.string())], ["line", "template"])
+
     made = ordered.select("home", "line", "docs", "low", "high").mapInArrow(merge, "line string, template string")
-    return lines.drop("turned").join(made.withColumnRenamed("line", "line2"), F.col("line") == F.col("line2")).drop("line2")
+    return lines.join(made.withColumnRenamed("line", "line2"), F.col("line") == F.col("line2")).drop("line2")
+
+
+def _nearest(group: pa.Table) -> pa.Table:
+    """``line, partner, equal, docs``: of each line the earlier one that has the most tokens in common, if these are enough."""
+    lines = sorted(zip(group.column("line").to_pylist(), group.column("docs").to_pylist(), strict=True), key=lambda x: (-x[1], x[0]))
+    numbers: dict[str, int] = {}
+    tokens = np.array([[numbers.setdefault(t, len(numbers)) for t in line.split(" ")] for line, _ in lines], dtype=np.int32)
+    out: list[tuple[str, str, int, int]] = []
+    for i in range(1, len(lines)):
+        equal = (tokens[:i] == tokens[i]).sum(axis=1)
+        best = int(equal.argmax())
+        if equal[best] >= AGREEMENT * tokens.shape[1]:
+            out.append((lines[i][0], lines[best][0], int(equal[best]), lines[best][1]))
+    columns = list(zip(*out, strict=True)) if out else [[]] * 4
+    kinds = [pa.string(), pa.string(), pa.int32(), pa.int64()]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["line", "partner", "equal", "docs"])
+
+
+def _joining(lines: DataFrame, most: int) -> DataFrame:
+    """``line, partner``: lines that agree with an earlier one of their leaf which agrees with none before it.
+
+    The more frequent line is the earlier. All lines of a leaf that agree meet: they
+    have a part in common, and of a part that more than ``most`` lines share, these
+    are dealt out in chunks, every two of which meet.
+    """
+    tokens = F.split("line", " ")
+    n = F.size(tokens)
+    rest, differ = n - DEPTH, n - F.ceil(n * AGREEMENT).cast("int")
+    # Where all but the leading tokens may differ, all lines agree
+    parts = F.when(differ >= rest, 1).otherwise(differ + 1)
+    edge = lambda part: (F.lit(DEPTH) + F.floor(part * F.col("rest") / F.col("parts"))).cast("int")
+    cut = lines.select("leaf", "line", "docs", tokens.alias("tokens"), rest.alias("rest"), differ.alias("differ"), parts.alias("parts"))
+    cut = cut.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    shared = F.slice("tokens", edge(F.col("part")) + 1, F.greatest(F.lit(0), edge(F.col("part") + 1) - edge(F.col("part"))))
+    content = F.when(F.col("differ") >= F.col("rest"), "").otherwise(F.array_join(shared, " "))
+    met = cut.select("leaf", "line", "docs", F.xxhash64("leaf", "part", content).alias("key"))
+    met = met.withColumn("n", F.count("*").over(Window.partitionBy("leaf", "key"))).where("n > 1")
+    met = met.withColumn("chunks", F.when(F.col("n") <= most, 1).otherwise(F.ceil(F.col("n") / (most / 2))).cast("long"))
+    met = met.withColumn("own", F.pmod(F.xxhash64("line"), F.col("chunks")))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))).where("chunks = 1 or own <> other")
+    met = met.select("leaf", "line", "docs", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"))
+    near = met.groupBy("leaf", "key").applyInArrow(_nearest, "line string, partner string, equal int, docs long")
+    near = near.groupBy("line").agg(F.min(F.struct(-F.col("equal"), -F.col("docs"), F.col("partner"))).alias("best"))
+    near = keep(near.select("line", F.col("best.partner").alias("partner")), "agreeing")
+    return near.join(near.select(F.col("line").alias("line2")), F.col("partner") == F.col("line2"), "left_anti")
+
+
+def _round(lines: DataFrame, joining: DataFrame, most: int) -> DataFrame:
+    """``lines`` with ``template``: lines become one with the line that they join, by the rule of a leaf."""
+    homes = joining.unionByName(joining.select(F.col("partner").alias("line"), "partner").distinct())
+    inside = lines.join(homes.withColumnRenamed("line", "line2"), F.col("line") == F.col("line2")).drop("line2")
+    inside = inside.withColumn("home", F.xxhash64("leaf", "partner")).drop("partner")
+    # The line that is joined comes first
+    ordered = inside.repartition("home").sortWithinPartitions("home", "leaf", F.desc("docs"), "line")
+    others = lines.join(homes.select(F.col("line").alias("line2")), F.col("line") == F.col("line2"), "left_anti")
+    return _merged(inside.drop("home"), ordered, most).unionByName(others.withColumn("template", F.col("line")))
 
 
 def _of_large(lines: DataFrame, leaf_lines: int) -> DataFrame:
     """``line, template, docs`` of different lines of large leaves that recur."""
     members = None
+    same = lambda rows: rows.withColumn("template", F.col("line"))
+    inside = F.col("leaf") == F.col("leaf2")
+
+    def moved(step: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The lines of the next step, and which of them each line at the start has become."""
+        step = keep(step, "templates")
+        to = step.select(F.xxhash64("line").alias("line2"), F.xxhash64("template").alias("to"))
+        if members is None:
+            now = to.withColumnRenamed("line2", "line")
+        else:
+            now = keep(members.join(to, F.col("to_now") == F.col("line2")).select("line", "to"), "members")
+        left = step.groupBy("leaf", F.col("template").alias("line")).agg(F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
+        return keep(left, "templates"), now.withColumnRenamed("to", "to_now")
+
     for turn in [*range(TURNS), None]:
         large = lines.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf_lines)
         large = keep(large.select(F.col("leaf").alias("leaf2")), "large-leaves")
         more = not large.isEmpty()
         if turn is not None and not more:
             continue
-        inside = F.col("leaf") == F.col("leaf2")
         few, many = lines.join(large, inside, "left_anti"), lines.join(large, inside, "left_semi")
-        same = lambda rows: rows.withColumn("template", F.col("line"))
         step = same(few).unionByName(_merge(many, turn, leaf_lines)) if turn is not None else _merge(few, None, leaf_lines).unionByName(same(many))
-        step = keep(step, "templates")
-        moved = step.select(F.xxhash64("line").alias("line2"), F.xxhash64("template").alias("to"))
-        if members is None:
-            members = moved.withColumnRenamed("line2", "line")
-        else:
-            members = keep(members.join(moved, F.col("to_now") == F.col("line2")).select("line", "to"), "members")
-        members = members.withColumnRenamed("to", "to_now")
-        lines = step.groupBy("leaf", F.col("template").alias("line")).agg(F.sum("docs").alias("docs"), F.min("low").alias("low"), F.max("high").alias("high"))
-        lines = keep(lines, "templates")
+        lines, members = moved(step)
+    # Leaves that are still large, until no two lines agree in any of them
+    while more:
+        joining = keep(_joining(lines.join(large, inside, "left_semi"), leaf_lines), "joining")
+        if joining.isEmpty():
+            break
+        lines, members = moved(_round(lines, joining, leaf_lines))
     least = F.when(F.size(F.split("line", " ")) < SHORT, SHORT_DOCS).otherwise(MIN_DOCS)
     found = lines.where((F.col("low") != F.col("high")) & (F.col("docs") >= least)).select(F.xxhash64("line").alias("number"), F.col("line").alias("template"), "docs")
     return members.join(found, F.col("to_now") == F.col("number")).select("line", "template", "docs")
@@ -276,8 +349,15 @@ def recurring(docs: DataFrame, leaf_lines: int = LEAF_LINES) -> DataFrame:
     ``docs`` counts a document once for each different masked line. A null doc_id
     is an id of its own.
     """
+    return _recurring(keep(_gathered(docs), "lines"), leaf_lines)
+
+
+def _gathered(docs: DataFrame) -> DataFrame:
     number = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)))
-    rows = keep(docs.select(number.alias("doc_id"), "text").mapInArrow(_lines, _LINES), "lines")
+    return docs.select(number.alias("doc_id"), "text").mapInArrow(_lines, _LINES)
+
+
+def _recurring(rows: DataFrame, leaf_lines: int) -> DataFrame:
     large = rows.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") > leaf_lines)
     large = keep(large.select(F.col("leaf").alias("leaf2")), "large-leaves")
     inside = F.col("leaf") == F.col("leaf2")
@@ -299,7 +379,12 @@ def drop_templates(docs: DataFrame) -> DataFrame:
     three names are replaced. A null doc_id is an id of its own.
     """
     doc, version, places, lines = (spare(docs, f"_drop_{n}") for n in ("doc", "version", "places", "lines"))
-    bad = keep(recurring(docs).select(F.col("line").alias("line2")).distinct(), "recurring-lines")
+    spark, path = docs.sparkSession, new_path(docs.sparkSession, "lines")
+    _gathered(docs).write.parquet(path)
+    found = _recurring(spark.read.schema(_LINES).parquet(path), LEAF_LINES)
+    bad = keep(found.select(F.col("line").alias("line2")).distinct(), "recurring-lines")
+    # Nothing reads the lines again, and the texts are yet to be shuffled
+    delete(spark, path)
     marked = line_hashes(docs).join(bad, F.col("line") == F.col("line2"), "left")
     flags = marked.groupBy(F.col("doc").alias(doc), F.col("version").alias(version)).agg(
         F.sort_array(F.collect_set(F.when(F.col("line2").isNotNull(), F.col("place")))).alias(places),

@@ -168,3 +168,33 @@ def test_a_hot_line(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.concat(F.lit(line + "\nown "), F.md5(F.col("id").cast("string"))).alias("text"))
     found = lt.drop_templates(docs).agg(F.min("n_dropped"), F.count("*")).first()
     assert found[0] >= 1 and found[1] == 20_000
+
+
+@pytest.mark.parametrize("leaf_lines", [lt.LEAF_LINES, 4])
+def test_lines_that_share_no_piece_meet(make_docs, leaf_lines):
+    """Twelve lines of 40 tokens that differ in one token of each turn's piece, among others of their leaf."""
+    starts = [lt.DEPTH + turn * (40 - lt.DEPTH) // lt.TURNS for turn in range(lt.TURNS)]
+    letters = lambda *x: "".join(chr(97 + int(c)) for c in "".join(f"{i:03d}" for i in x))
+    rows = []
+    for i in range(12):
+        tokens = [f"w{letters(p)}" for p in range(40)]
+        for p in starts:
+            tokens[p] = f"x{letters(p, i)}"
+        rows.append((i, " ".join(tokens)))
+    alone = [(100 + i, " ".join([f"w{letters(p)}" for p in range(lt.DEPTH)] + [f"y{letters(p, i)}" for p in range(40 - lt.DEPTH)])) for i in range(12)]
+    found = {tuple(r) for r in lt.recurring(make_docs(*rows, *alone), leaf_lines).collect()}
+    assert {x[0] for x in found} == {lt._number(t) for _, t in rows}
+    assert {x[1:] for x in found} == {(" ".join("<*>" if p in starts else f"w{letters(p)}" for p in range(40)), 12)}
+
+
+def test_no_two_lines_that_agree_stay_apart(make_docs):
+    """Templates of a leaf cut at four lines: no two that could meet are left, and brute force finds the same lines."""
+    draw = random.Random(21)
+    rows = [(i, "in the town " + " ".join(draw.choices("abc", k=6))) for i in range(150)]
+    docs = make_docs(*rows)
+    found = lt.recurring(docs, 4).collect()
+    forms = sorted({r.template for r in found})
+    agree = lambda a, b: sum(x == y for x, y in zip(a.split(), b.split(), strict=True)) >= 0.75 * 9
+    assert len(forms) > 1 and not any(agree(a, b) for a in forms for b in forms if a < b)
+    single = {t for _, t in rows if lt._number(t) not in {r.line for r in found}}
+    assert not any(agree(a, b) for a in single for b in single if a < b)

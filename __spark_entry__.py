@@ -190,7 +190,7 @@ def snapshot_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _keyed(spark: SparkSession, posts: DataFrame, kind: str = "experts") -> str:
     path = new_path(spark, "keyed")
-    keyed.create(posts, path, kind, buckets=8)
+    keyed.create(posts, path, kind, buckets=keyed.buckets_for(posts, least=8))
     return path
 
 

@@ -33,8 +33,8 @@ from forumlens.operators.validity import answers, questions, valid_posts_activit
 from forumlens.session import delete, keep, names_in, written
 from forumlens.sources.posts import ANSWER
 
-#: Buckets of a store by default. A bucket should hold some hundred MB; the number stays for good.
-BUCKETS = 64
+#: The least buckets of a store by default, and posts of a bucket from which on there are more. The number stays for good.
+BUCKETS, BUCKET_POSTS = 64, 500_000
 # The column of the bucket's number, which is also the name of its folder
 _BUCKET = "id_bucket"
 
@@ -139,12 +139,19 @@ def _ddl(rows: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
 
 
-def create(posts: DataFrame, path: str, kind: str = "experts", buckets: int = BUCKETS, order_by=VERSION) -> None:
+def buckets_for(posts: DataFrame, least: int = BUCKETS) -> int:
+    """As many buckets as keep the posts of one, which a task sorts, at BUCKET_POSTS on average."""
+    return max(least, -(-posts.count() // BUCKET_POSTS))
+
+
+def create(posts: DataFrame, path: str, kind: str = "experts", buckets: int | None = None, order_by=VERSION) -> None:
     """Store the newest version of every post at ``path``, for the lookups of ``kind``.
 
     ``kind`` is ``experts`` or ``activity``; see ``store.snapshot`` for ``order_by``.
+    Without a number of ``buckets`` they grow with the posts.
     """
     spark, rule = posts.sparkSession, KINDS[kind]
+    buckets = buckets_for(posts) if buckets is None else buckets
     if versions(spark, path):
         raise ValueError(f"there is a store at {path}")
     folder = f"00000001-{uuid.uuid4().hex[:8]}"

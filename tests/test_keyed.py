@@ -8,6 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from conftest import answer, question
 from forumlens.operators import experts, keyed, store
 from forumlens.operators.validity import valid_posts_activity_store
@@ -140,3 +141,18 @@ def test_empty_store_and_wrong_uses(spark, made, make_posts):
         keyed.open_store(spark, new_path(spark, "none"))
     assert keyed.upsert(spark, path, make_posts(question(1, 2), answer(2))).version == 2
     assert [tuple(r) for r in reports.experts_report_keyed(keyed.open_store(spark, path)).collect()] == [("a", "7")]
+
+
+def test_buckets_grow_with_the_posts(spark, monkeypatch):
+    """A task holds a bucket, so a bucket must not grow with the store."""
+    monkeypatch.setattr(keyed, "BUCKET_POSTS", 300)
+    paths = []
+    create = keyed.create
+    monkeypatch.setattr(keyed, "create", lambda posts, path, *rest, **options: paths.append(path) or create(posts, path, *rest, **options))
+    found = rows(entry.queries()["experts_report_keyed"](spark, SF))
+    posts = derived.posts_xl(spark, SF)
+    manifest = keyed._manifest(spark, paths[0])
+    assert manifest.buckets == -(-posts.count() // 300) > 8
+    sizes = [r["count"] for r in keyed._read(spark, paths[0], manifest, "posts", "post_id").groupBy("id_bucket").count().collect()]
+    assert max(sizes) <= 2 * 300
+    assert found == rows(reports.experts_report_snapshot(store.snapshot(posts)))
